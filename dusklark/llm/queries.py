@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dusklark.functions.text import label
-from dusklark.llm import digest, leakage, packing
+from dusklark.llm import digest, leakage, packing, pii
 from dusklark.session import table, written
 
 METRICS = ["cost", "original_price", "total_discount"]
@@ -54,5 +54,14 @@ def p7_removal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.removal_spans(_spans(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p3_percentiles, p3_combined, p6_containers, p7_found, p7_removal_spans)}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_mentions(table(spark, sf_dir, "documents")).select("doc_id", "kind", "mention").distinct()
+
+
+def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with typed placeholders in place of personal information."""
+    return pii.redact(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p3_percentiles, p3_combined, p6_containers, p7_found, p7_removal_spans, p8_found, p8_redacted)}
 SQL: dict[str, str] = {}
