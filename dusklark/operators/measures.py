@@ -36,9 +36,10 @@ def clustered_ratio(df: DataFrame, unit: list[str], numerator: str, denominator:
     """Ratio of sums with the delta-method error clustered by unit: ``units, ratio, se``.
 
     One pass over unit sums: the variance of the residual numerator - R * denominator from variances and covariance.
-    Fewer than two units, or no positive mean denominator, give a NULL error.
+    Unit sums without a known value count as 0. Fewer than two units, or no positive mean denominator, give a NULL error.
     """
-    u = df.groupBy(*unit).agg(F.sum(numerator).alias("y"), F.sum(denominator).alias("x"))
+    zero = F.lit(0.0)
+    u = df.groupBy(*unit).agg(F.coalesce(F.sum(numerator), zero).alias("y"), F.coalesce(F.sum(denominator), zero).alias("x"))
     s = u.agg(F.count(F.lit(1)).alias("units"), F.sum("y").alias("sy"), F.sum("x").alias("sx"), F.var_samp("y").alias("vy"), F.var_samp("x").alias("vx"), F.covar_samp("y", "x").alias("cyx"))
     r = ratio(F.col("sy"), F.col("sx"))
     mean_x = F.col("sx") / F.col("units")
