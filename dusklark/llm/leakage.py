@@ -14,7 +14,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,25 +155,26 @@ def leaked_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_
     for block in _blocks(items, item_id, item_text):
         sent = spark.sparkContext.broadcast(Phrases(block, words))
 
-        def search(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            phrases, buffer, held = sent.value, [], 0
-            for f in frames:
-                for i, text in zip(f["doc_id"], f["text"]):
+        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            phrases, buffer, held, kind = sent.value, [], 0, pa.null()
+            for b in batches:
+                kind = b.schema.field("doc_id").type
+                for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                     ids = phrases.numbered(split_words(text))
                     buffer.append((i, text, ids))
                     held += len(ids)
                     if held >= SHARD_WORDS:
-                        yield _search(phrases, buffer)
+                        yield _search(phrases, buffer, kind)
                         buffer, held = [], 0
             if buffer:
-                yield _search(phrases, buffer)
+                yield _search(phrases, buffer, kind)
 
-        part = plain.mapInPandas(search, schema)
+        part = plain.mapInArrow(search, schema)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _search(phrases: Phrases, buffer: list[tuple[object, str, np.ndarray]]) -> pd.DataFrame:
+def _search(phrases: Phrases, buffer: list[tuple[object, str, np.ndarray]], kind: pa.DataType) -> pa.RecordBatch:
     pieces, owner, offset = [], [], []
     for d, (_, _, ids) in enumerate(buffer):
         for a in range(0, max(1, len(ids) - phrases.words + 1), SHARD_WORDS):
@@ -192,9 +193,9 @@ def _search(phrases: Phrases, buffer: list[tuple[object, str, np.ndarray]]) -> p
             item.append(phrases.owners[phrases.owner_at[phrase][of] + nth])
             start.append((s + offset_[lot[d]])[of])
             stop.append((s + offset_[lot[d]] + n)[of])
-    columns = ["doc_id", "item_id", "word_start", "word_end", "char_start", "char_end"]
+    out = pa.schema([("doc_id", kind), *((c, pa.int64()) for c in ("item_id", "word_start", "word_end", "char_start", "char_end"))])
     if not doc:
-        return pd.DataFrame({c: [] for c in columns})
+        return pa.RecordBatch.from_pylist([], schema=out)
     d, i, s, e = map(np.concatenate, (doc, item, start, stop))
     names, code = np.unique(i, return_inverse=True)
     s, e, g = merged(s, e, d * len(names) + code)
@@ -202,7 +203,7 @@ def _search(phrases: Phrases, buffer: list[tuple[object, str, np.ndarray]]) -> p
     places = {x: word_places(buffer[x][1]) for x in np.unique(d)}
     a = [places[x][y][0] for x, y in zip(d, s)]
     z = [places[x][y - 1][1] for x, y in zip(d, e)]
-    return pd.DataFrame({"doc_id": [buffer[x][0] for x in d], "item_id": i, "word_start": s, "word_end": e, "char_start": a, "char_end": z})
+    return pa.RecordBatch.from_arrays([pa.array([buffer[x][0] for x in d], type=kind), *(pa.array(x, type=pa.int64()) for x in (i, s, e, a, z))], schema=out)
 
 
 def removal_spans(spans: DataFrame) -> DataFrame:

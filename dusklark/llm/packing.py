@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,15 +46,15 @@ def count_tokens(texts: list[str], tokenizer: str) -> list[int]:
 def token_sizes(df: DataFrame, id_col: str, text_col: str, tokenizer: str = TOKENIZER) -> DataFrame:
     """``doc_id, tokens``: the length of each text in tokens; 0 for NULL and empty texts. Every row has its own."""
 
-    def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            sizes = []
-            for a in range(0, len(f), 256):  # bounded memory for the encodings
-                sizes += count_tokens(f["text"].iloc[a : a + 256].fillna("").tolist(), tokenizer)
-            yield pd.DataFrame({"doc_id": f["doc_id"], "tokens": np.array(sizes, dtype=np.int64)})
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, sizes = b.column("text").to_pylist(), []
+            for a in range(0, len(texts), 256):  # bounded memory for the encodings
+                sizes += count_tokens([t or "" for t in texts[a : a + 256]], tokenizer)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, type=pa.int64())], names=["doc_id", "tokens"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(measure, f"doc_id {id_type}, tokens long")
+    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(measure, f"doc_id {id_type}, tokens long")
 
 
 def plan(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:

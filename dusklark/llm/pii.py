@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,16 +170,16 @@ def redacted(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join(out) + text[at:]
 
 
-def _over(frames: Iterator[pd.DataFrame], tagger: Tagger) -> Iterator[tuple[list, list[str | None], list[list[tuple[int, int, str]]]]]:
-    for f in frames:
-        ids, texts = f["doc_id"].tolist(), [t if isinstance(t, str) else None for t in f["text"]]
+def _over(batches: Iterator[pa.RecordBatch], tagger: Tagger) -> Iterator[tuple[pa.Array, list[str | None], list[list[tuple[int, int, str]]]]]:
+    for b in batches:
+        ids, texts = b.column("doc_id"), b.column("text").to_pylist()
         a = 0
         while a < len(texts):
             z, chars = a, 0
             while z < len(texts) and (z == a or chars < GATHER):
                 chars += len(texts[z] or "")
                 z += 1
-            yield ids[a:z], texts[a:z], find_in([t or "" for t in texts[a:z]], tagger)
+            yield ids.slice(a, z - a), texts[a:z], find_in([t or "" for t in texts[a:z]], tagger)
             a = z
 
 
@@ -190,23 +190,27 @@ def find_mentions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     sent = df.sparkSession.sparkContext.broadcast(Tagger.load(model))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, texts, spans in _over(frames, sent.value):
-            rows = [(i, k, a, z, t[a:z]) for i, t, s in zip(ids, texts, spans) for a, z, k in s]
-            yield pd.DataFrame(rows, columns=["doc_id", "kind", "start", "end", "mention"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts, spans in _over(batches, sent.value):
+            rows = [(n, k, a, z, t[a:z]) for n, (t, s) in enumerate(zip(texts, spans)) for a, z, k in s]
+            at, kinds, starts, ends, mentions = zip(*rows) if rows else ((),) * 5
+            whole = pa.int64()
+            columns = [ids.take(pa.array(at, type=whole)), pa.array(kinds, type=pa.string()), pa.array(starts, type=whole), pa.array(ends, type=whole), pa.array(mentions, type=pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kind", "start", "end", "mention"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {id_type}, kind string, start long, end long, mention string")
+    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, kind string, start long, end long, mention string")
 
 
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
     """``doc_id, text, n_mentions``: every row, with typed placeholders in place of personal information; NULL stays NULL."""
     sent = df.sparkSession.sparkContext.broadcast(Tagger.load(model))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, texts, spans in _over(frames, sent.value):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts, spans in _over(batches, sent.value):
             shown = [None if t is None else redacted(t, s) for t, s in zip(texts, spans)]
-            yield pd.DataFrame({"doc_id": ids, "text": shown, "n_mentions": [len(s) for s in spans]})
+            columns = [ids, pa.array(shown, type=pa.string()), pa.array([len(s) for s in spans], type=pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "n_mentions"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {id_type}, text string, n_mentions long")
+    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, text string, n_mentions long")
