@@ -25,7 +25,7 @@ from dusklark.session import SharedFiles
 
 #: A store is refused when it spans more days than this; the day list is the only thing the driver holds.
 MAX_PERIODS = 40_000
-KEY, PERIOD, SLOT, RANK = "_key", "_period", "_slot", "_rank"
+KEY, PERIOD, SLOT = "once_key__", "once_period__", "once_slot__"
 
 
 def single_winners(df: DataFrame, key: str, rank: list[Column]) -> DataFrame:
@@ -46,7 +46,7 @@ class OnceStore:
     NULL or blank can't be copies of each other: each is kept, told apart by ``delivery_col``.
     rank: orders the copies of a message; the smallest is kept (NULL last, then the smallest ``delivery_col``).
     period_col: the timestamp by whose day winners are filed; NULL goes to a day of its own.
-    An empty batch publishes nothing. Extra columns travel along; names beginning with an underscore are reserved.
+    An empty batch publishes nothing. Extra columns travel along; only the names ``once_key__``, ``once_period__`` and ``once_slot__`` are taken.
     """
 
     def __init__(self, spark: SparkSession, path: str, id_col: str, delivery_col: str, period_col: str, rank: list[Column], slots: int = 32):
