@@ -61,7 +61,7 @@ def stale_rates(rows: DataFrame, entity: list[str], date: str, value: str, rate:
     Expected is the total of the ``period`` days before the date divided by ``period``; an entity's first day has none,
     and any non-NULL rate there is reported. NaN is a rate that never agrees.
     """
-    carried = rows.dropna(subset=[*entity, date, rate]).groupBy(*entity, F.unix_date(date).alias("_day")).agg(F.min(rate).alias("rate_low"), F.max(rate).alias("rate_high"))
+    carried = rows.dropna(subset=[*entity, date]).filter(F.col(rate).isNotNull()).groupBy(*entity, F.unix_date(date).alias("_day")).agg(F.min(rate).alias("rate_low"), F.max(rate).alias("rate_high"))
     right = trailing_totals(rows, entity, date, value, [period], include_today=False)
     expected = F.when(F.col("date") > F.col("first_day"), F.col(f"mean_{period}d"))
     right = right.select(*entity, F.unix_date("date").alias("_day"), expected.alias("expected"))

@@ -35,10 +35,10 @@ def write_parquet(df: DataFrame, path: str, by: list[str] | None = None, mode: s
 def scan_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """JSON lines: readable rows, and lines that aren't JSON or don't fit the schema (column ``line``)."""
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    df = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    # the corrupt column alone can't be read from the file again, so rows are told apart in one projection
-    marked = df.withColumn("_bad", F.col(CORRUPT).isNotNull())
-    return marked.filter(~F.col("_bad")).drop(CORRUPT, "_bad"), marked.filter("_bad").select(F.col(CORRUPT).alias("line"))
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("j"))
+    good = parsed.filter(F.col(f"j.{CORRUPT}").isNull()).select(*[F.col(f"j.{f.name}") for f in schema.fields])
+    return good, parsed.filter(F.col(f"j.{CORRUPT}").isNotNull()).select(F.col("value").alias("line"))
 
 
 def append_json_lines(df: DataFrame, path: str) -> None:
