@@ -106,8 +106,8 @@ def _builder(metrics: list[str], delta: float):
             codes, names = groups.indices.to_numpy(zero_copy_only=False), groups.dictionary.to_pylist()
             order = np.argsort(codes, kind="stable")
             bounds = np.searchsorted(codes[order], np.arange(len(names) + 1))
-            for metric in metrics:
-                v = b.column(metric).to_numpy(zero_copy_only=False).astype(np.float64)[order]
+            for i, metric in enumerate(metrics):
+                v = b.column(f"_x_{i}").to_numpy(zero_copy_only=False).astype(np.float64)[order]
                 for g, name in enumerate(names):
                     x = v[bounds[g] : bounds[g + 1]]
                     x = x[np.isfinite(x)]
@@ -142,7 +142,7 @@ def build_digests(df: DataFrame, group: Column, metrics: list[str], delta: float
     value has no digest, and an empty table gives none. Each task reduces its rows to centroids before anything is
     sent, whatever share of the rows a group holds.
     """
-    plain = df.select(F.coalesce(group.cast("string"), F.lit(NULL_GROUP)).alias("grp"), *[F.col(m).cast("double").alias(m) for m in metrics])
+    plain = df.select(F.coalesce(group.cast("string"), F.lit(NULL_GROUP)).alias("grp"), *[F.col(m).cast("double").alias(f"_x_{i}") for i, m in enumerate(metrics)])
     return plain.mapInArrow(_builder(metrics, delta), SCHEMA)
 
 

@@ -22,7 +22,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, dtype=np.int64)
     for k in range(first):
         key <<= width
-        key[: n - k] |= text[k:].astype(np.int64)
+        if k < n:
+            key[: n - k] |= text[k:].astype(np.int64)
     order = np.argsort(key, kind="stable")
     rank = np.empty(n, dtype=np.int64)
     done = first
