@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dusklark.functions.text import identifier
-from dusklark.session import SharedFiles
+from dusklark.session import SharedFiles, written
 
 #: A store is refused when it spans more days than this; the day list is the only thing the driver holds.
 MAX_PERIODS = 40_000
@@ -84,40 +84,39 @@ class OnceStore:
         # the mark keeps made-up keys apart from any identifier
         own = F.coalesce(identifier(F.col(self.id_col)), F.concat(F.lit("\u0000"), F.col(self.delivery_col).cast("string")))
         order = [*self.rank, F.col(self.delivery_col)]
-        incoming = single_winners(batch.withColumn(KEY, own), KEY, order)
+        # read several times below; a lost executor must not cost the feed's scan again
+        incoming = written(single_winners(batch.withColumn(KEY, own), KEY, order), "incoming")
         schema = self._schema(now) if now["schema"] else T.StructType([T.StructField(f.name, f.dataType) for f in incoming.schema])
         period = F.coalesce(F.date_format(F.col(self.period_col), "yyyy-MM-dd"), F.lit("none"))
         slot = F.pmod(F.xxhash64(KEY), F.lit(self.slots)).cast("string")
-        version = now["version"] + 1
+        entry = T.StructType([T.StructField(KEY, T.StringType()), T.StructField(PERIOD, T.StringType())])
+        version, days = now["version"] + 1, []
 
+        keys = incoming.select(KEY)
+        touched = [r["s"] for r in keys.select(slot.alias("s")).distinct().collect()]  # at most as many as there are slots
+        index = self._read("index", SLOT, now["index"], touched, entry)
+        winners = incoming
         if now["data"]:
-            entry = T.StructType([T.StructField(KEY, T.StringType()), T.StructField(PERIOD, T.StringType())])
-            index = self._read("index", SLOT, now["index"], None, entry)
-            hits = index.join(incoming.select(KEY), KEY, "left_semi").select(F.col(PERIOD).alias("p"))
+            hits = index.join(keys, KEY, "left_semi").select(F.col(PERIOD).alias("p"))
             days = self._days(hits.union(incoming.select(period.alias("p"))))
             history = self._read("data", PERIOD, now["data"], days, schema)
-            both = history.unionByName(incoming.select(*schema.fieldNames()))
-            winners = single_winners(both, KEY, order)
-        else:
-            winners = incoming
+            winners = single_winners(history.unionByName(incoming.select(*schema.fieldNames())), KEY, order)
         filed = winners.withColumn(PERIOD, period).repartition(PERIOD, F.pmod(F.xxhash64(KEY), F.lit(8)))
         filed.write.partitionBy(PERIOD).parquet(f"{self.path}/data/{version:08d}")
         fresh_data = self._parts("data", PERIOD, version)
-        # days that lost their last winner to another day leave the manifest
-        gone = set(days) - set(fresh_data) if now["data"] else set()
+        gone = set(days) - set(fresh_data)  # days that lost their last winner to another day
 
-        stored = self._read("data", PERIOD, {p: version for p in fresh_data}, None, schema)
-        fresh_index = stored.select(KEY, period.alias(PERIOD))
-        if now["index"]:
-            kept = index.join(stored.select(KEY), KEY, "left_anti")
-            fresh_index = kept.unionByName(fresh_index)
-        fresh_index.withColumn(SLOT, slot).repartition(SLOT).write.partitionBy(SLOT).parquet(f"{self.path}/index/{version:08d}")
+        # only identifiers of this batch can have moved, and only their slots are written
+        stored = self._read("data", PERIOD, {p: version for p in fresh_data}, None, schema).select(KEY, period.alias(PERIOD))
+        moved = stored.join(keys, KEY, "left_semi")
+        kept = index.join(keys, KEY, "left_anti")
+        kept.unionByName(moved).withColumn(SLOT, slot).repartition(SLOT).write.partitionBy(SLOT).parquet(f"{self.path}/index/{version:08d}")
 
         published = {
             "version": version,
             "schema": json.loads(schema.json()),
             "data": {p: v for p, v in now["data"].items() if p not in gone} | {p: version for p in fresh_data},
-            "index": {s: version for s in self._parts("index", SLOT, version)},
+            "index": now["index"] | {s: version for s in self._parts("index", SLOT, version)},
         }
         if not self.files.write_new(f"{self.path}/manifest/{version:08d}.json", json.dumps(published)):
             raise RuntimeError(f"version {version} was published by another writer; take the batch in again")
