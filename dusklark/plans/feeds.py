@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dusklark.functions.text import identifier, instant
 from dusklark.operators import once, orphans, rolling, sessions
-from dusklark.session import scratch, table
+from dusklark.session import scratch, table, written
 
 #: Each feed is taken in as this many spans of time, the later ones against the history of the earlier.
 BATCHES = 2
@@ -65,7 +65,8 @@ def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     deltas = orphans.record_deltas(t("decision_log"), "decision_id", "received_at", t("decision_voids"), "decision_id", "voided_at")
     refs = orphans.references("outcome_log", t("outcome_log"), identifier(F.col("outcome_id")), F.col("decision_id"), F.col("received_at"))
     ledger = orphans.references("spread_ledger", t("spread_ledger"), F.col("ledger_id").cast("string"), F.col("decision_id"), F.col("received_at"))
-    return orphans.orphan_references(refs.unionByName(ledger), deltas)
+    # read for the hot keys, their rows and the rest
+    return orphans.orphan_references(written(refs.unionByName(ledger), "references"), deltas)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
