@@ -21,7 +21,9 @@ def identifier(c: Column) -> Column:
 
 def label(c: Column) -> Column:
     """Upper case, inner runs of blanks and underscores as one space; NULL where nothing is left."""
-    plain = F.upper(F.btrim(F.regexp_replace(stripped(c), r"[\s_]+", " ")))
+    flat = F.upper(F.btrim(F.translate(stripped(c), "_\t\n\r", "    ")))
+    # the pattern is only run where there is something to fold
+    plain = F.when(flat.contains("  "), F.regexp_replace(flat, " +", " ")).otherwise(flat)
     return F.when(plain != "", plain)
 
 

@@ -18,6 +18,7 @@ from dusklark.config import Config
 from dusklark.functions.numbers import finite, holds
 from dusklark.functions.text import code, label
 from dusklark.operators.episodes import inventory_break, leftover
+from dusklark.session import written
 
 # The stages in order.
 STAGES = [
@@ -154,11 +155,13 @@ def staged(raw: DataFrame, cfg: Config) -> DataFrame:
     rise = F.lead("starting_inventory").over(new.orderBy("at_hour")) > leftover(c("starting_inventory"), c("units_sold"))
     d = d.withColumn("_rise", holds(rise)).withColumn("_rises", F.max("_rise").over(new))
     d = d.withColumn("leaves", F.when(c("_alive") & c("_rises"), 15).otherwise(c("leaves"))).drop("_rise", "_rises")
+    final = F.max(F.struct("at_hour", "starting_inventory", "units_sold", "ending_inventory", "hours_remaining")).over(new)
+    d = d.withColumn("_z", final).drop("_alive")
+    # read for the end of the extract, for the last stage and, by the waterfall, twice more; all that needs the partitioning is done
+    d = written(d, "staged").withColumn("_left", leftover(F.col("_z.starting_inventory"), F.col("_z.units_sold")))
     if not cfg.drop_edge_truncated:
-        return d.drop("_alive")
+        return d.drop("_z", "_left")
 
-    final = F.max(F.struct("at_hour", "starting_inventory", "units_sold", "ending_inventory", "hours_remaining")).over(new)
-    d = d.withColumn("_z", final).withColumn("_left", leftover(c("_z.starting_inventory"), c("_z.units_sold")))
     kept = c("leaves") == KEEP
     zeroed = c("_z.ending_inventory") == 0
     facts = d.filter(kept).agg(F.max("at_hour").alias("_end"), F.coalesce(F.max(holds(zeroed & (c("_left") > 0))), F.lit(False)).alias("_writes_off"))
@@ -166,7 +169,7 @@ def staged(raw: DataFrame, cfg: Config) -> DataFrame:
     cut = (c("_z.at_hour") + F.greatest(F.coalesce(c("_z.hours_remaining"), F.lit(0.0)), F.lit(0.0)) > c("_end")) | (c("_z.at_hour") >= c("_end"))
     d = d.crossJoin(F.broadcast(facts))  # one row
     d = d.withColumn("leaves", F.when(kept & unknown & holds(cut), 16).otherwise(c("leaves")))
-    return d.drop("_alive", "_z", "_left", "_end", "_writes_off")
+    return d.drop("_z", "_left", "_end", "_writes_off")
 
 
 def waterfall(raw: DataFrame, cfg: Config) -> DataFrame:

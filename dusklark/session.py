@@ -55,6 +55,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly where a scan has fewer parts than the cluster has cores; for work that costs far more than a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
 class SharedFiles:
     """The few file operations that publishing a version needs, on whatever file system the path names."""
 
