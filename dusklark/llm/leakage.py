@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dusklark.llm.fmindex import FMIndex
+from dusklark.session import spread
 
 WORDS = 12
 #: Words of text in one shard, and words of evaluation items sent to the tasks at a time.
@@ -151,6 +152,7 @@ def leaked_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_
     id_type = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {id_type}, item_id long, word_start long, word_end long, char_start long, char_end long"
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text")).filter("text IS NOT NULL")
+    plain = spread(plain)
     out = None
     for block in _blocks(items, item_id, item_text):
         sent = spark.sparkContext.broadcast(Phrases(block, words))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dusklark.session import written
+from dusklark.session import spread, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 CAPACITY = 2048
@@ -54,7 +54,7 @@ def token_sizes(df: DataFrame, id_col: str, text_col: str, tokenizer: str = TOKE
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, type=pa.int64())], names=["doc_id", "tokens"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(measure, f"doc_id {id_type}, tokens long")
+    return spread(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(measure, f"doc_id {id_type}, tokens long")
 
 
 def plan(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:

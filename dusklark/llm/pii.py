@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from dusklark.llm.pii_labels import KINDS
 from dusklark.llm.tagger import Tagger
+from dusklark.session import spread
 
 MODEL = str(Path(__file__).with_name("pii_model.npz"))
 WINDOW, OVERLAP = 384, 96
@@ -199,7 +200,7 @@ def find_mentions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kind", "start", "end", "mention"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, kind string, start long, end long, mention string")
+    return spread(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(run, f"doc_id {id_type}, kind string, start long, end long, mention string")
 
 
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
@@ -213,4 +214,4 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "n_mentions"])
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, text string, n_mentions long")
+    return spread(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(run, f"doc_id {id_type}, text string, n_mentions long")
