@@ -133,3 +133,44 @@ def fit_dispersion(df: DataFrame, group: str, low: float = 0.05, high: float = 5
         return pd.DataFrame({"grp": [x["grp"].iloc[0]], "n": [int(n.sum())], "r": [math.exp(best)], "loglik": [ll(best)]})
 
     return counts.groupBy("grp").applyInPandas(fit, "grp string, n long, r double, loglik double")
+
+
+def expected_min(mu: np.ndarray, r: float, stock: np.ndarray) -> np.ndarray:
+    """E[min(D, stock)] for arrays."""
+    p = r / (r + mu)
+    pmf, out = p**r, stock.astype(float).copy()
+    for k in range(int(stock.max(initial=0))):
+        out -= np.where(stock > k, (stock - k) * pmf, 0.0)
+        pmf = pmf * (k + r) / (k + 1) * (1 - p)
+    return out
+
+
+def level_factors(df: DataFrame, parent: str, child: str, r: float = 1.0, weight: float = 100.0, low: float = 0.1, high: float = 10.0) -> DataFrame:
+    """Factors on expected demand that make censored expectations meet the units sold: ``parent, child, n, factor``.
+
+    df: ``parent, child, mu, stock, k``. A child's own factor is drawn towards its parent's, and the parent's towards
+    the overall one, in logarithms and by ``n / (n + weight)``. Rows are counted by (mu, stock) first; the counts of a
+    group, not its rows, reach one task.
+    """
+    cells = df.dropna(subset=["mu", "stock", "k"]).filter("mu > 0 AND stock >= 0").groupBy(F.col(parent).alias("p"), F.col(child).alias("c"), F.col("mu").cast("double").alias("mu"), F.col("stock").cast("long").alias("stock"))
+    cells = cells.agg(F.count(F.lit(1)).alias("n"), F.sum("k").cast("double").alias("sold"))
+
+    def solve(x: pd.DataFrame) -> pd.DataFrame:
+        mu, stock, n, sold = x["mu"].to_numpy(), x["stock"].to_numpy(), x["n"].to_numpy(float), float(x["sold"].sum())
+        a, b = low, high
+        for _ in range(40):
+            m = math.sqrt(a * b)
+            a, b = (m, b) if float((n * expected_min(m * mu, r, stock)).sum()) < sold else (a, m)
+        return pd.DataFrame({"p": [x["p"].iloc[0]], "c": [x["c"].iloc[0]], "n": [int(n.sum())], "f": [math.sqrt(a * b)]})
+
+    def at(level: DataFrame, *keys: str) -> DataFrame:
+        return level.groupBy(*keys).applyInPandas(solve, "p string, c string, n long, f double")
+
+    summed = lambda p, c: cells.groupBy(p.alias("p"), c.alias("c"), "mu", "stock").agg(F.sum("n").alias("n"), F.sum("sold").alias("sold"))
+    none = F.lit(None).cast("string")
+    top = at(summed(none, none), "p", "c").select(F.col("f").alias("ft"))  # one row
+    mid = at(summed(F.col("p"), none), "p", "c").select("p", F.col("n").alias("np"), F.col("f").alias("fp"))
+    own = at(cells, "p", "c").join(mid.crossJoin(F.broadcast(top)), "p")
+    shrunk = lambda n, f, to: F.exp((n * F.ln(f) + weight * F.ln(to)) / (n + weight))
+    mid_f = shrunk(F.col("np"), F.col("fp"), F.col("ft"))
+    return own.select(F.col("p").alias("parent"), F.col("c").alias("child"), "n", shrunk(F.col("n"), F.col("f"), mid_f).alias("factor"))

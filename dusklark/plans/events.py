@@ -317,3 +317,55 @@ def win_trailing_orders(spark, d):
     """Mean order value over the 90 days before each order."""
     w = W.partitionBy("o_custkey").orderBy(F.unix_date(F.to_date("o_orderdate"))).rangeBetween(-90, -1)
     return table(spark, d, "orders").select("o_custkey", "o_orderkey", r(F.avg("o_totalprice").over(w), 4).alias("trailing_mean"), F.count(F.lit(1)).over(w).alias("n"))
+
+
+# -- fitted models -----------------------------------------------------------------------------------------------------
+@query(None)
+def stat_level_factors(spark, d):
+    """Factors on the expected demand of category and hour, shrunk from subcategory to category to all."""
+    x = hours(spark, d).filter("category IS NOT NULL AND units_sold >= 0 AND starting_inventory >= 0")
+    base = x.groupBy(c("category").alias("_k"), c("hour_of_day").alias("_h")).agg(F.avg("units_sold").alias("mu"))
+    y = x.join(base, (c("category") == c("_k")) & (c("hour_of_day") == c("_h"))).select("category", "subcategory", "mu", c("starting_inventory").alias("stock"), c("units_sold").alias("k"))
+    return L.level_factors(y, "category", "subcategory").select(c("parent").alias("category"), c("child").alias("subcategory"), "n", r("factor").alias("factor"))
+
+
+@query(None)
+def stat_elasticity(spark, d):
+    """Elasticity per category that best explains the opening hours' sales, on a grid and without a prior."""
+    from dusklark.operators.episodes import edge_rows
+
+    x = hours(spark, d)
+    base = x.groupBy(c("category").alias("_k"), c("hour_of_day").alias("_h")).agg(F.avg("units_sold").alias("mu"))
+    f = edge_rows(x, ["episode_id"], ["category", "total_discount", "d_ref", "units_sold", "starting_inventory"], last=False).filter("units_sold >= 0 AND starting_inventory > 0 AND total_discount >= 0 AND total_discount < 1")
+    y = f.join(base, (c("category") == c("_k")) & (c("hour_of_day") == c("_h")))
+    y = y.select("category", c("units_sold").alias("k"), c("starting_inventory").alias("stock"), "mu", F.lit(1.0).alias("r"), F.ln((1 - c("total_discount")) / (1 - c("d_ref"))).alias("log_ratio"))
+    g = L.grid_posterior(y, "category", np.linspace(-4.0, -0.05, 159), 0.0, 1e6)
+    return g.select(c("cell").alias("category"), "n", r("mode", 4).alias("elasticity"), r("std", 4).alias("std"))
+
+
+@query(None)
+def stat_baseline_glm(spark, d):
+    """Sold and expected units per category of the test span, from a Tweedie model fitted to the training span."""
+    from dusklark.operators import baseline
+    from dusklark.operators.episodes import opened_between
+
+    x = hours(spark, d).withColumn("dow", F.weekday("date")).withColumn("day", F.dayofmonth("date"))
+    numbers, labels = ["hour_of_day", "dow", "day", "total_discount", "starting_inventory"], ["category", "fc"]
+    model = baseline.fit_baseline(opened_between(x, ["episode_id"], CFG.train_start, CFG.train_end), "units_sold", numbers, labels)
+    y = baseline.predict(model, opened_between(x, ["episode_id"], CFG.test_start, CFG.test_end), numbers, labels)
+    return y.filter("units_sold >= 0").groupBy("category").agg(count().alias("row_count"), F.sum("units_sold").alias("sold"), r(F.sum("expected"), 4).alias("expected"))
+
+
+@query(f"""WITH {H}, w AS (SELECT category, date_trunc('week', date) AS week, sum(units_sold) AS sold, sum(starting_inventory) AS stock FROM h WHERE category IS NOT NULL GROUP BY 1, 2), n AS (SELECT *, dense_rank() OVER (ORDER BY week) AS i FROM w),
+t AS (SELECT n.category, n.week, span, n.sold, n.stock, sum(p.sold) / sum(p.stock) AS f FROM n CROSS JOIN (VALUES (1), (2), (4), (8)) s(span) JOIN n p ON p.category = n.category AND p.i BETWEEN n.i - span AND n.i - 1 GROUP BY 1, 2, 3, 4, 5)
+SELECT span, count(*) AS cells, round(sum(sold) / sum(stock * f), 6) AS ratio, round(sum(abs(sold - stock * f)) / sum(stock), 6) AS error FROM t GROUP BY 1""")
+def rep_calibration_sweep(spark, d):
+    """How well the ratio of the 1, 2, 4 or 8 weeks before foretells each week."""
+    w = hours(spark, d).dropna(subset=["category"]).groupBy("category", F.date_trunc("week", "date").cast("date").alias("week")).agg(F.sum("units_sold").alias("sold"), F.sum("starting_inventory").alias("stock"))
+    places = w.select("week").distinct().withColumn("i", F.dense_rank().over(W.orderBy("week")))  # one row per week
+    x = w.join(F.broadcast(places), "week")
+    for span in (1, 2, 4, 8):
+        v = W.partitionBy("category").orderBy("i").rangeBetween(-span, -1)
+        x = x.withColumn(f"f{span}", F.sum("sold").over(v) / F.sum("stock").over(v))
+    y = x.select("sold", "stock", F.explode(F.create_map(*[z for s in (1, 2, 4, 8) for z in (F.lit(s), c(f"f{s}"))])).alias("span", "f")).filter("f IS NOT NULL")
+    return y.groupBy("span").agg(count().alias("cells"), r(F.sum("sold") / F.sum(c("stock") * c("f"))).alias("ratio"), r(F.sum(F.abs(c("sold") - c("stock") * c("f"))) / F.sum("stock")).alias("error"))

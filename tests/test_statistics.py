@@ -120,3 +120,28 @@ def test_outcomes_are_quarantined_with_reasons(spark):
     ok, bad = V.split(spark.createDataFrame(rows, OUT), V.outcome_problems())
     assert ok.count() == 2
     assert sorted(tuple(r["problems"]) for r in bad.collect()) == [("is_stockout missing", "stock does not reconcile", "applied_price not finite", "finalized_at unreadable"), ("units_sold negative",)]
+
+
+def test_level_factors_recover_a_known_factor(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for p, ch, f in (("a", "x", 1.45), ("a", "y", 1.45), ("b", "z", 0.7)):
+        mu = rng.choice([0.5, 1.0, 2.0], 6000)
+        k = rng.negative_binomial(1.0, 1.0 / (1.0 + f * mu))
+        stock = rng.integers(1, 8, 6000)
+        rows += [(p, ch, float(m), int(q), int(min(a, q))) for m, q, a in zip(mu, stock, k)]
+    df = spark.createDataFrame(rows + [("a", None, 1.0, 3, None)], "p string, c string, mu double, stock long, k long")
+    got = {(r["parent"], r["child"]): r["factor"] for r in L.level_factors(df, "p", "c").collect()}
+    assert abs(got[("a", "x")] - 1.45) < 0.1 and abs(got[("b", "z")] - 0.7) < 0.06
+    assert L.level_factors(df.limit(0), "p", "c").count() == 0
+
+
+def test_baseline_follows_the_hour(spark):
+    from dusklark.operators.baseline import fit_baseline, predict
+
+    rng = np.random.default_rng(4)
+    rows = [(int(h), "a" if i % 2 else "b", int(rng.poisson(0.2 * h))) for i, h in enumerate(rng.integers(1, 12, 3000))] + [(None, None, 1), (3, "a", None)]
+    df = spark.createDataFrame(rows, "hour long, cat string, k long")
+    out = predict(fit_baseline(df, "k", ["hour"], ["cat"]), df.unionByName(spark.createDataFrame([(5, "new", 0)], df.schema)), ["hour"], ["cat"])
+    means = {r["hour"]: r["m"] for r in out.groupBy("hour").agg(F.avg("expected").alias("m")).collect() if r["hour"]}
+    assert means[11] > 2 * means[2] and out.filter("expected IS NULL").count() == 0
