@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from dusklark.functions.numbers import holds
 
 ORDER = ["date", "hour_of_day"]
+# How an episode may end, and why stock may not reconcile.
 SOLD_OUT, COMPLETED, NOT_CLOSED = "sold_out", "completed", "not_closed"
+RESTOCK, WRITE_OFF = "intraday_restock", "episode_close_write_off"
 
 
 def leftover(start: Column, sold: Column) -> Column:
@@ -24,7 +26,7 @@ def leftover(start: Column, sold: Column) -> Column:
 def inventory_break(start: Column, sold: Column, end: Column) -> Column:
     """Why stock doesn't reconcile: more than was left, or zeroed with stock left; NULL for neither."""
     left = leftover(start, sold)
-    return F.when(end > left, F.lit("intraday_restock")).when((end == 0) & (left > 0), F.lit("episode_close_write_off"))
+    return F.when(end > left, F.lit(RESTOCK)).when((end == 0) & (left > 0), F.lit(WRITE_OFF))
 
 
 def edge_rows(df: DataFrame, episode: list[str], columns: list[str], last: bool = True) -> DataFrame:
