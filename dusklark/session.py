@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,7 +46,16 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/dusklark/{label}-{uuid.uuid4().hex}"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the caller only put it on its own path."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -91,3 +91,12 @@ def test_entry_and_names(spark):
     assert entry.entry(spark).count() > 0
     q, s = entry.queries(), entry.oracle_sql()
     assert set(s) <= set(q)
+
+
+def test_workers_find_the_package(spark):
+    from dusklark.session import importable
+
+    importable(spark)
+    importable(spark)
+    paths = spark.sparkContext.environment["PYTHONPATH"].split(":")
+    assert len(paths) == len(set(paths)) and any(p and __import__("os").path.isdir(f"{p}/dusklark") for p in paths)
