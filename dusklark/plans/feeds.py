@@ -60,13 +60,23 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_episodes(spark, sf_dir).select("sku_id", "fc", "start_hour", "end_hour")
 
 
-def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _existence(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
-    deltas = orphans.record_deltas(t("decision_log"), "decision_id", "received_at", t("decision_voids"), "decision_id", "voided_at")
-    refs = orphans.references("outcome_log", t("outcome_log"), identifier(F.col("outcome_id")), F.col("decision_id"), F.col("received_at"))
-    ledger = orphans.references("spread_ledger", t("spread_ledger"), F.col("ledger_id").cast("string"), F.col("decision_id"), F.col("received_at"))
+    return orphans.record_deltas(t("decision_log"), "decision_id", "received_at", t("decision_voids"), "decision_id", "voided_at")
+
+
+def _outcome_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orphans.references("outcome_log", table(spark, sf_dir, "outcome_log"), identifier(F.col("outcome_id")), F.col("decision_id"), F.col("received_at"))
+
+
+def _all_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = orphans.references("spread_ledger", table(spark, sf_dir, "spread_ledger"), F.col("ledger_id").cast("string"), F.col("decision_id"), F.col("received_at"))
+    return _outcome_references(spark, sf_dir).unionByName(ledger)
+
+
+def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     # read for the hot keys, their rows and the rest
-    return orphans.orphan_references(written(refs.unionByName(ledger), "references"), deltas)
+    return orphans.orphan_references(written(_all_references(spark, sf_dir), "references"), _existence(spark, sf_dir))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,16 +88,22 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans.orphan_report(_orphans(spark, sf_dir))
 
 
-def p4_current_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys that are referenced now and don't exist now, from summed change deltas."""
-    t = lambda name: table(spark, sf_dir, name)
-    exist = orphans.record_deltas(t("decision_log"), "decision_id", "received_at", t("decision_voids"), "decision_id", "voided_at")
-    refs = orphans.references("outcome_log", t("outcome_log"), identifier(F.col("outcome_id")), F.col("decision_id"), F.col("received_at"))
+def _current_keys(refs: DataFrame, exist: DataFrame) -> DataFrame:
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     deltas = exist.select("key", zero.alias("refs"), "exist").unionByName(refs.select("key", one.alias("refs"), zero.alias("exist")))
     return orphans.orphan_keys(orphans.apply_deltas(None, deltas))
 
 
+def p4_current_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that outcomes reference now and that don't exist now, from summed change deltas; the ledger's are in ``p4_current_keys_all``."""
+    return _current_keys(_outcome_references(spark, sf_dir), _existence(spark, sf_dir))
+
+
+def p4_current_keys_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that outcomes or ledger rows reference now and that don't exist now, from summed change deltas."""
+    return _current_keys(_all_references(spark, sf_dir), _existence(spark, sf_dir))
+
+
 def p5_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals and averages of units sold over the trailing 7 and 30 days, for each day of each sku and site."""
     out = rolling.trailing_totals(table(spark, sf_dir, "prepared"), ["sku_id", "fc"], "date", "units_sold", [7, 30])
@@ -99,7 +115,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("sku_id", "fc", F.date_format("date", "yyyy-MM-dd").alias("day"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kept_outcomes, p1_kept_decisions, p2_found, p2_episodes, p4_found, p4_report, p4_current_keys, p5_found, p5_trailing)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kept_outcomes, p1_kept_decisions, p2_found, p2_episodes, p4_found, p4_report, p4_current_keys, p4_current_keys_all, p5_found, p5_trailing)}
 
 # White space around identifiers, as the Spark side strips it.
 _BLANK = r"[\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -168,6 +184,7 @@ SQL = {
     "p4_found": _ORPHANS + "SELECT DISTINCT child_table, child_id, kind FROM found WHERE kind IS NOT NULL",
     "p4_report": _ORPHANS + "SELECT child_table, strftime(moment, '%Y-%m') AS period, kind, count(*) AS orphans, count(DISTINCT k) AS keys FROM found WHERE kind IS NOT NULL GROUP BY 1, 2, 3",
     "p4_current_keys": _ORPHANS + "SELECT o.k AS key, count(DISTINCT o.child_id) AS refs FROM o LEFT JOIN born ON o.k = born.k LEFT JOIN gone ON o.k = gone.k WHERE o.k IS NOT NULL AND (b IS NULL OR v IS NOT NULL) GROUP BY 1",
+    "p4_current_keys_all": _ORPHANS + "SELECT refs.k AS key, count(*) AS refs FROM refs LEFT JOIN born ON refs.k = born.k LEFT JOIN gone ON refs.k = gone.k WHERE b IS NULL OR v IS NOT NULL GROUP BY 1",
     "p5_found": _STALE,
     "p5_trailing": _TRAILING,
 }

@@ -51,6 +51,20 @@ def test_deltas_commute_and_cancel(spark):
     assert [r["key"] for r in O.orphan_keys(whole).collect()] == ["b"]
 
 
+def test_current_keys_count_both_child_tables(spark, tmp_path):
+    from dusklark.plans import feeds
+
+    tables = {
+        "decision_log": ([("a", t(0)), ("b", t(0))], "decision_id string, received_at timestamp"),
+        "decision_voids": ([("B", t(1))], "decision_id string, voided_at timestamp"),
+        "outcome_log": ([("o1", "b", t(2)), ("O1", " B", t(3)), ("o2", "a", t(2)), ("o3", None, t(2))], "outcome_id string, decision_id string, received_at timestamp"),
+        "spread_ledger": ([(1, "B ", t(2)), (2, "nope", t(2)), (3, "a", t(2)), (4, " ", t(2))], "ledger_id long, decision_id string, received_at timestamp"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert sorted(map(tuple, feeds.p4_current_keys_all(spark, str(tmp_path)).collect())) == [("b", 2), ("nope", 1)]
+
+
 def test_hot_key_join_keeps_every_row(spark):
     left = spark.range(6000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 997 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), "id")
     right = spark.createDataFrame([("hot", 1), ("4", 2)], "k string, v int")
