@@ -19,22 +19,26 @@ def daily_totals(rows: DataFrame, entity: list[str], date: str, value: str) -> D
     return kept.groupBy(*entity, F.unix_date(date).alias("day")).agg(F.sum(amount).alias("total"), F.count(F.lit(1)).alias("rows"))
 
 
-def calendar(daily: DataFrame, entity: list[str], bucket: int) -> DataFrame:
-    """Each entity's days from its first to its last, with the bucket each lies in.
+def calendar(daily: DataFrame, entity: list[str], bucket: int, to_end: bool = False) -> DataFrame:
+    """Each entity's days from its first to its last, or to the last of all entities, with the bucket each lies in.
 
     The days are made bucket by bucket, so the longest array is one bucket.
     """
     span = daily.groupBy(*entity).agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    if to_end:
+        end = daily.agg(F.max("day").alias("last_day"))  # one row
+        span = span.drop("last_day").crossJoin(F.broadcast(end))
     b = span.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("first_day") / bucket), F.floor(F.col("last_day") / bucket))))
     inside = F.sequence(F.greatest("first_day", (F.col("bucket") * bucket).cast("int")), F.least("last_day", (F.col("bucket") * bucket + bucket - 1).cast("int")))
     return b.select(*entity, "bucket", "first_day", F.explode(inside).alias("day"))
 
 
-def trailing_totals(rows: DataFrame, entity: list[str], date: str, value: str, periods: list[int], include_today: bool = True, days: DataFrame | None = None) -> DataFrame:
+def trailing_totals(rows: DataFrame, entity: list[str], date: str, value: str, periods: list[int], include_today: bool = True, days: DataFrame | None = None, to_end: bool = False) -> DataFrame:
     """Totals and averages over trailing periods: ``entity, date, first_day``, and per period ``total_<n>d, mean_<n>d``.
 
     A period of n days ends with the date itself, or with the day before it if ``include_today`` is false. Days
     without rows count as 0 and have a row of their own between the entity's first and last day; means divide by n.
+    With ``to_end`` an entity's days run on to the table's last day, so totals that outlive its rows come out as well.
     ``days`` (``entity, day, bucket, first_day``) replaces that calendar. Entities are kept apart by all columns of
     ``entity``; other columns are ignored, and an empty table gives an empty table.
     """
@@ -42,7 +46,7 @@ def trailing_totals(rows: DataFrame, entity: list[str], date: str, value: str, p
         raise ValueError("periods are positive numbers of days")
     width, shift = max(periods), 0 if include_today else 1
     daily = daily_totals(rows, entity, date, value)
-    dates = calendar(daily, entity, width) if days is None else days
+    dates = calendar(daily, entity, width, to_end) if days is None else days
     # a total counts for days in its own bucket and in the one after
     reach = daily.select(*entity, F.col("day").alias("total_day"), "total", F.explode(F.sequence(F.floor(F.col("day") / width), F.floor((F.col("day") + width - 1 + shift) / width))).alias("bucket"))
     age = F.col("day") - F.col("total_day")

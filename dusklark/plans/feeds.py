@@ -105,17 +105,23 @@ def p4_current_keys_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals and averages of units sold over the trailing 7 and 30 days, for each day of each sku and site."""
+    """Totals and averages of units sold over the trailing 7 and 30 days, for each day of each sku and site up to the pair's own last; the days after it are in ``p5_trailing_all``."""
     out = rolling.trailing_totals(table(spark, sf_dir, "prepared"), ["sku_id", "fc"], "date", "units_sold", [7, 30])
     return out.drop("first_day")
 
 
+def p5_trailing_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and averages of units sold over the trailing 7 and 30 days, for each day of each sku and site from its first to the table's last."""
+    out = rolling.trailing_totals(table(spark, sf_dir, "prepared"), ["sku_id", "fc"], "date", "units_sold", [7, 30], to_end=True)
+    return out.drop("first_day")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = rolling.stale_rates(table(spark, sf_dir, "prepared"), ["sku_id", "fc"], "date", "units_sold", "sku_ref_sales_rate_30d")
     return bad.select("sku_id", "fc", F.date_format("date", "yyyy-MM-dd").alias("day"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kept_outcomes, p1_kept_decisions, p2_found, p2_episodes, p4_found, p4_report, p4_current_keys, p4_current_keys_all, p5_found, p5_trailing)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kept_outcomes, p1_kept_decisions, p2_found, p2_episodes, p4_found, p4_report, p4_current_keys, p4_current_keys_all, p5_found, p5_trailing, p5_trailing_all)}
 
 # White space around identifiers, as the Spark side strips it.
 _BLANK = r"[\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -168,6 +174,16 @@ SELECT c.sku_id, c.fc, c.date,
 FROM cal c LEFT JOIN daily d ON d.sku_id = c.sku_id AND d.fc = c.fc AND d.date <= c.date AND d.date > c.date - 30
 GROUP BY 1, 2, 3"""
 
+_TRAILING_ALL = """
+WITH daily AS (SELECT sku_id, fc, date, CAST(sum(coalesce(units_sold, 0)) AS BIGINT) AS total FROM prepared
+  WHERE sku_id IS NOT NULL AND fc IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2, 3),
+cal AS (SELECT sku_id, fc, CAST(unnest(generate_series(min(date), (SELECT max(date) FROM daily), INTERVAL 1 DAY)) AS DATE) AS date FROM daily GROUP BY 1, 2)
+SELECT c.sku_id, c.fc, c.date,
+  CAST(coalesce(sum(d.total) FILTER (WHERE d.date > c.date - 7), 0) AS BIGINT) AS total_7d, CAST(coalesce(sum(d.total), 0) AS BIGINT) AS total_30d,
+  coalesce(sum(d.total) FILTER (WHERE d.date > c.date - 7), 0) / 7.0 AS mean_7d, coalesce(sum(d.total), 0) / 30.0 AS mean_30d
+FROM cal c LEFT JOIN daily d ON d.sku_id = c.sku_id AND d.fc = c.fc AND d.date <= c.date AND d.date > c.date - 30
+GROUP BY 1, 2, 3"""
+
 _STALE = """
 WITH daily AS (SELECT sku_id, fc, date, sum(coalesce(units_sold, 0)) AS total, min(sku_ref_sales_rate_30d) AS lo, max(sku_ref_sales_rate_30d) AS hi,
   min(date) OVER (PARTITION BY sku_id, fc) AS first_day FROM prepared GROUP BY 1, 2, 3),
@@ -187,4 +203,5 @@ SQL = {
     "p4_current_keys_all": _ORPHANS + "SELECT refs.k AS key, count(*) AS refs FROM refs LEFT JOIN born ON refs.k = born.k LEFT JOIN gone ON refs.k = gone.k WHERE b IS NULL OR v IS NOT NULL GROUP BY 1",
     "p5_found": _STALE,
     "p5_trailing": _TRAILING,
+    "p5_trailing_all": _TRAILING_ALL,
 }

@@ -99,6 +99,14 @@ def test_trailing_totals_match_brute_force(spark, include_today):
     assert got == want
 
 
+def test_trailing_totals_run_on_to_the_tables_last_day(spark):
+    rows = [(1, "A", 0, 4, None), (1, "A", 2, 3, None), (2, "A", 40, 1, None), (None, "A", 60, 1, None)]
+    out = R.trailing_totals(rows_of(spark, rows), ["sku_id", "fc"], "date", "units_sold", [7, 30], to_end=True).collect()
+    got = {(r["sku_id"], r["date"]): (r["total_7d"], r["total_30d"]) for r in out}
+    want = {(1, d(n)): (4 * (n < 7) + 3 * (2 <= n < 9), 4 * (n < 30) + 3 * (2 <= n < 32)) for n in range(41)}
+    assert len(out) == 42 and got == {**want, (2, d(40)): (1, 1)}
+
+
 def test_rolling_nulls_empty_and_periods(spark):
     assert R.trailing_totals(rows_of(spark, []), ["sku_id", "fc"], "date", "units_sold", [7]).count() == 0
     out = R.trailing_totals(rows_of(spark, [(None, "A", 1, 1, None), (1, None, 1, 1, None), (1, "A", None, 1, None), (1, "A", 3, None, None)]), ["sku_id", "fc"], "date", "units_sold", [1]).collect()
