@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dusklark.session import written
+
 #: Rows of a batch that are multiplied with the grid at a time.
 BLOCK = 1024
 
@@ -101,40 +103,112 @@ def grid_posterior(df: DataFrame, cell: str, grid: np.ndarray, prior_mean: float
     return m.join(counts, "cell").select("cell", "n", mean.alias("mean"), F.sqrt(F.greatest(F.col("s2") / F.col("sw") - mean * mean, F.lit(0.0))).alias("std"), "mode")
 
 
-def fit_dispersion(df: DataFrame, group: str, low: float = 0.05, high: float = 50.0) -> DataFrame:
+def _log_tail(k: np.ndarray, mu: np.ndarray, r: float) -> np.ndarray:
+    """ln P(D >= k) for k of 1 and more. Where little is left above the sum up to k, the tail itself is summed, so none is cut off."""
+    p = r / (r + mu)
+    pmf, below = p**r, np.zeros_like(mu)
+    for j in range(int(k.max(initial=0))):
+        below += np.where(k > j, pmf, 0.0)
+        pmf = pmf * (j + r) / (j + 1) * (1 - p)
+    far = 1 - below < 1e-6
+    out = np.log(np.where(far, 1.0, 1 - below))
+    if far.any():
+        j, m, q = k[far].astype(float), mu[far], 1 - p[far]
+        start = _lgamma(j + r) - math.lgamma(r) - _lgamma(j + 1.0) + r * np.log1p(-q) + j * np.log(q)
+        term, total = np.ones_like(m), np.ones_like(m)
+        for _ in range(100_000):
+            term = term * (j + r) / (j + 1) * q
+            total, j = total + term, j + 1
+            if (term < 1e-12 * total).all():
+                break
+        out[far] = start + np.log(total)
+    return out
+
+
+def _dispersion_counts(df: DataFrame, keys: dict[str, Column], stock: str | None) -> DataFrame:
+    """Rows by ``keys, mu, k, full``; ``full``: demand was at least k. Rows without stock say nothing and are left out."""
+    kept = df.dropna(subset=["mu", "k"] + [stock] * bool(stock)).filter("mu > 0 AND k >= 0")
+    full = F.lit(False)
+    if stock:
+        kept, full = kept.filter(F.col(stock) >= 1), F.col("k") >= F.col(stock)
+    return kept.groupBy(*[v.alias(n) for n, v in keys.items()], F.col("mu").cast("double").alias("mu"), F.col("k").cast("long").alias("k"), full.alias("full")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _fit_r(x: pd.DataFrame, low: float, high: float) -> tuple[float, float, bool]:
+    """Dispersion, its log-likelihood, and whether the search over ln r closed in on a finite one."""
+    full = x["full"].to_numpy(bool)
+    mu, k, n = x["mu"].to_numpy(), x["k"].to_numpy(), x["n"].to_numpy(float)
+    ks, at = np.unique(k[~full], return_inverse=True)
+
+    def ll(log_r: float) -> float:
+        r = math.exp(log_r)
+        p = r / (r + mu[~full])
+        const = _lgamma(ks + r) - math.lgamma(r) - _lgamma(ks + 1.0)
+        exact = (n[~full] * (const[at] + r * np.log(p) + k[~full] * np.log1p(-p))).sum()
+        return float(exact + (n[full] * _log_tail(k[full], mu[full], r)).sum())
+
+    a, b, phi = math.log(low), math.log(high), (math.sqrt(5) - 1) / 2
+    c, d = b - phi * (b - a), a + phi * (b - a)
+    fc, fd = ll(c), ll(d)
+    for _ in range(60):
+        if fc > fd:
+            b, d, fd = d, c, fc
+            c = b - phi * (b - a)
+            fc = ll(c)
+        else:
+            a, c, fc = c, d, fd
+            d = a + phi * (b - a)
+            fd = ll(d)
+    best = (a + b) / 2
+    return math.exp(best), ll(best), bool(b - a < 1e-5 and math.isfinite(ll(best)))
+
+
+def fit_dispersion(df: DataFrame, group: str, low: float = 0.05, high: float = 50.0, stock: str | None = None) -> DataFrame:
     """Dispersion of each group by maximum likelihood: ``group, n, r, loglik``.
 
-    df: ``group, mu, k``. Rows are counted by (mu, k) first, which is all the likelihood needs; the counts of a group,
-    not its rows, reach one task. Golden-section search over ln r in ``[ln low, ln high]``.
+    df: ``group, mu, k`` and, if named, ``stock``: rows that sold it out only say that demand was at least k, and rows
+    without any are left out. Rows are counted by (mu, k) first, which is all the likelihood needs; the counts of a
+    group, not its rows, reach one task. Golden-section search over ln r in ``[ln low, ln high]``.
     """
-    counts = df.dropna(subset=["mu", "k"]).filter("mu > 0 AND k >= 0").groupBy(F.col(group).alias("grp"), F.col("mu").cast("double").alias("mu"), F.col("k").cast("long").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    counts = _dispersion_counts(df, {"grp": F.col(group)}, stock)
 
     def fit(x: pd.DataFrame) -> pd.DataFrame:
-        mu, k, n = x["mu"].to_numpy(), x["k"].to_numpy(), x["n"].to_numpy(float)
-
-        def ll(log_r: float) -> float:
-            r = math.exp(log_r)
-            p = r / (r + mu)
-            return float((n * (_lgamma(k + r) - math.lgamma(r) - _lgamma(k + 1.0) + r * np.log(p) + k * np.log1p(-p))).sum())
-
-        a, b, phi = math.log(low), math.log(high), (math.sqrt(5) - 1) / 2
-        c, d = b - phi * (b - a), a + phi * (b - a)
-        fc, fd = ll(c), ll(d)
-        for _ in range(60):
-            if fc > fd:
-                b, d, fd = d, c, fc
-                c = b - phi * (b - a)
-                fc = ll(c)
-            else:
-                a, c, fc = c, d, fd
-                d = a + phi * (b - a)
-                fd = ll(d)
-        best = (a + b) / 2
-        return pd.DataFrame({"grp": [x["grp"].iloc[0]], "n": [int(n.sum())], "r": [math.exp(best)], "loglik": [ll(best)]})
+        r, loglik, _ = _fit_r(x, low, high)
+        return pd.DataFrame({"grp": [x["grp"].iloc[0]], "n": [int(x["n"].sum())], "r": [r], "loglik": [loglik]})
 
     return counts.groupBy("grp").applyInPandas(fit, "grp string, n long, r double, loglik double")
 
 
+def dispersion_levels(df: DataFrame, parent: str, child: str, stock: str, least: int = 200, clamp: float = 0.9, low: float = 0.05, high: float = 50.0) -> DataFrame:
+    """Dispersion of each child, its parent's or the overall one: ``parent, child, n, level, level_n, r, fitted, loglik``.
+
+    df: ``parent, child, mu, k, stock``, read as by ``fit_dispersion``. A child or parent has a dispersion of its own
+    from ``least`` rows on and if the search converged; else the next level's holds. ``fitted`` is the maximum, ``r`` is
+    at most the quantile ``clamp`` of all fits that count. ``n`` is the child's rows, ``level_n`` those of the fit used.
+    The row with neither parent nor child is the overall one, for those not met here.
+    """
+    cells = written(_dispersion_counts(df, {"p": F.col(parent).cast("string"), "c": F.col(child).cast("string")}, stock), "dispersion")  # read for three levels and the children
+
+    def fit(x: pd.DataFrame) -> pd.DataFrame:
+        n, level = int(x["n"].sum()), x["level"].iloc[0]
+        r, loglik, ok = _fit_r(x, low, high) if level == "global" or n >= least else (None, None, False)
+        return pd.DataFrame({"level": [level], "name": [x["name"].iloc[0]], "n": [n], "r": [r], "loglik": [loglik], "ok": [ok or level == "global"]})
+
+    at = lambda level, name: cells.groupBy(F.lit(level).alias("level"), name.alias("name"), "mu", "k", "full").agg(F.sum("n").alias("n"))
+    levels = at("child", F.col("c")).filter("name IS NOT NULL").unionByName(at("parent", F.col("p")).filter("name IS NOT NULL")).unionByName(at("global", F.lit("")))
+    fits = levels.groupBy("level", "name").applyInPandas(fit, "level string, name string, n long, r double, loglik double, ok boolean").filter("ok")
+    fits = written(fits, "dispersion-fits")  # read for the clamp and each level
+    cap = fits.agg(F.percentile("r", F.lit(clamp)).alias("cap"))  # one row
+    of = lambda level, tag: fits.filter(F.col("level") == level).select(F.col("name").alias(tag), F.struct(F.lit(level).alias("level"), F.col("n").alias("level_n"), F.col("r").alias("fitted"), "loglik").alias(f"_{tag}"))
+    leaves = cells.groupBy("p", "c").agg(F.sum("n").alias("n"))
+    whole = of("global", "g").drop("g")  # one row
+    none = F.lit(None).cast("string")
+    leaves = leaves.filter("p IS NOT NULL OR c IS NOT NULL").unionByName(fits.filter("level = 'global'").select(none.alias("p"), none.alias("c"), "n"))
+    x = leaves.join(of("child", "c"), "c", "left").join(of("parent", "p"), "p", "left").crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(cap))
+    x = x.withColumn("f", F.coalesce("_c", "_p", "_g"))
+    return x.select(F.col("p").alias("parent"), F.col("c").alias("child"), "n", "f.level", "f.level_n", F.least("f.fitted", "cap").alias("r"), "f.fitted", "f.loglik")
+
+
 def expected_min(mu: np.ndarray, r: float, stock: np.ndarray) -> np.ndarray:
     """E[min(D, stock)] for arrays."""
     p = r / (r + mu)

@@ -170,15 +170,18 @@ def stat_grid_posterior(spark, d):
 
 
 def _guessed(spark, d) -> DataFrame:
-    x = hours(spark, d).filter("category IS NOT NULL AND units_sold >= 0")
+    x = hours(spark, d).filter("units_sold >= 0")
     base = x.groupBy(c("category").alias("_k"), c("hour_of_day").alias("_h")).agg(F.avg("units_sold").alias("mu"))
-    return x.join(base, (c("category") == c("_k")) & (c("hour_of_day") == c("_h"))).select("category", "mu", c("units_sold").alias("k"), c("starting_inventory").alias("stock"))
+    mu = F.greatest("mu", F.lit(CFG.demand_floor)).alias("mu")
+    return x.join(base, c("category").eqNullSafe(c("_k")) & (c("hour_of_day") == c("_h"))).select("category", "subcategory", mu, c("units_sold").alias("k"), c("starting_inventory").alias("stock"))
 
 
 @query(None)
 def stat_fit_dispersion(spark, d):
-    """Dispersion per category by maximum likelihood."""
-    return L.fit_dispersion(_guessed(spark, d), "category").select(c("grp").alias("category"), "n", r("r").alias("r"), r("loglik", 2).alias("loglik"))
+    """Dispersion per subcategory by censored maximum likelihood, its category's or the overall one where rows are few; the row without names is the overall one."""
+    x = L.dispersion_levels(_guessed(spark, d), "category", "subcategory", "stock")
+    level = F.replace(F.replace("level", F.lit("child"), F.lit("subcategory")), F.lit("parent"), F.lit("category"))
+    return x.select(c("parent").alias("category"), c("child").alias("subcategory"), "n", level.alias("level"), "level_n", r("r").alias("r"), r("fitted").alias("fitted"), r("loglik", 2).alias("loglik"))
 
 
 _LEDGER = "l AS (SELECT replace(day, '-', '') AS day, costs, ledger_id FROM spread_ledger)"

@@ -51,6 +51,39 @@ def test_dispersion_fit(spark):
     assert r["n"] == 20_000 and abs(r["r"] - 0.8) < 0.05
 
 
+def test_dispersion_fit_is_censored_at_the_stock(spark):
+    rng = np.random.default_rng(6)
+    k, stock = rng.negative_binomial(0.8, 0.8 / (0.8 + 2.0), 20_000), rng.integers(0, 6, 20_000)
+    df = spark.createDataFrame([("g", 2.0, int(min(a, q)), int(q)) for a, q in zip(k, stock)] + [("g", 2.0, 1, None)], "g string, mu double, k long, stock long")
+    r = L.fit_dispersion(df, "g", stock="stock").first()
+    assert r["n"] == (stock >= 1).sum() and abs(r["r"] - 0.8) < 0.06
+    assert abs(L.fit_dispersion(df, "g").first()["r"] - 0.8) > 0.06
+
+
+def test_log_tail_reaches_beyond_the_last_digit():
+    for k, mu, r in ((1, 0.5, 0.3), (4, 2.0, 0.8), (40, 0.5, 2.0), (25, 1.0, 40.0), (60, 20.0, 0.05)):
+        want = math.log(sum(pmf(j, mu, r) for j in range(k, k + 20_000)))
+        assert L._log_tail(np.array([k]), np.array([mu]), r)[0] == pytest.approx(want, rel=1e-6)
+
+
+def test_dispersion_falls_back_and_is_clamped(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for p, ch, r, n in (("a", "x", 0.5, 3000), ("a", "thin", 0.5, 150), ("b", "y", 5.0, 3000), ("rare", "z", 0.5, 60), (None, "w", 0.9, 3000)):
+        k, stock = rng.negative_binomial(r, r / (r + 2.0), n), rng.integers(0, 9, n)
+        rows += [(p, ch, 2.0, int(min(a, q)), int(q)) for a, q in zip(k, stock)]
+    df = spark.createDataFrame(rows, "p string, c string, mu double, k long, stock long")
+    got = {(r["parent"], r["child"]): r for r in L.dispersion_levels(df, "p", "c", "stock").collect()}
+    assert {key: r["level"] for key, r in got.items()} == {("a", "x"): "child", ("a", "thin"): "parent", ("b", "y"): "child", ("rare", "z"): "global", (None, "w"): "child", (None, None): "global"}
+    assert got[("a", "thin")]["level_n"] == got[("a", "x")]["n"] + got[("a", "thin")]["n"]
+    assert abs(got[("a", "x")]["r"] - 0.5) < 0.08 and abs(got[(None, "w")]["r"] - 0.9) < 0.15
+    fits = [got[key]["fitted"] for key in (("a", "x"), ("b", "y"), (None, "w"), ("a", "thin"), ("b", "y"), (None, None))]
+    assert got[("b", "y")]["r"] == pytest.approx(np.percentile(fits, 90)) and got[("rare", "z")]["r"] == got[(None, None)]["r"]
+    top = L.dispersion_levels(df, "p", "c", "stock", clamp=0.5).filter("child = 'y'").first()
+    assert top["r"] == pytest.approx(np.percentile(fits, 50)) and top["r"] < top["fitted"]
+    assert L.dispersion_levels(df.limit(0), "p", "c", "stock").count() == 0
+
+
 def ledger(spark, rows):
     return spark.createDataFrame(rows, "day string, costs array<double>, extra string")
 
