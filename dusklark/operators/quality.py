@@ -225,3 +225,17 @@ def reference_discount(category: Column, cfg: Config) -> Column:
     """The category's reference discount, or the default."""
     pairs = F.create_map(*[F.lit(x) for kv in cfg.reference.items() for x in kv]) if cfg.reference else None
     return F.lit(cfg.default_reference) if pairs is None else F.coalesce(pairs[category], F.lit(cfg.default_reference))
+
+
+def stage_costs(w: DataFrame) -> DataFrame:
+    """A waterfall with what each stage took: besides its columns ``share_left, rows_dropped, episodes_dropped, exposure_dropped, share_dropped``.
+
+    Shares are of the exposure of the first stage, which itself takes nothing (NULL). Cutting episodes anew adds some, so
+    what it takes is negative.
+    """
+    c = F.col
+    order = W.orderBy("stage_no")  # one row per stage
+    drop = [(F.lag(x, 1).over(order) - c(x)).alias(f"{x}_dropped") for x in ("rows", "episodes", "exposure")]
+    out = w.select("*", *drop, F.first("exposure").over(order).alias("_raw"))
+    share = lambda x: F.when(c("_raw") != 0, c(x) / c("_raw"))
+    return out.withColumns({"share_left": share("exposure"), "share_dropped": share("exposure_dropped")}).drop("_raw")

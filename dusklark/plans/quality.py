@@ -30,11 +30,18 @@ def epi_two_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rep_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows, episodes and exposure after each stage of the filter chain, with what each stage took."""
+    """Rows, episodes and exposure after each stage of the filter chain; what each stage took is in ``rep_waterfall_costs``."""
     w = quality.waterfall(table(spark, sf_dir, "flc_raw"), CFG)
     return w.select("stage_no", "stage", "rows", "episodes", F.round("exposure", 2).alias("exposure"))
 
 
+def rep_waterfall_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, episodes and exposure after each stage of the filter chain, with what each stage took and its share of the raw exposure."""
+    w = quality.waterfall(table(spark, sf_dir, "flc_raw"), CFG).withColumn("exposure", F.round("exposure", 2))
+    rounded = [F.round(c, n).alias(c) for c, n in (("share_left", 6), ("exposure_dropped", 2), ("share_dropped", 6))]
+    return quality.stage_costs(w).select("stage_no", "stage", "rows", "episodes", "exposure", "rows_dropped", "episodes_dropped", *rounded)
+
+
 def rep_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that pass the chain, with derived columns."""
     d = quality.cleaned(table(spark, sf_dir, "flc_raw"), CFG)
@@ -42,7 +49,7 @@ def rep_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("episode_id", "date", "hour_of_day", "starting_inventory", "units_sold", "hours_remaining", "category", *rounded)
 
 
-QUERIES = {f.__name__: f for f in (proj_loaded, filt_unique_hours, epi_two_signal, rep_waterfall, rep_cleaned)}
+QUERIES = {f.__name__: f for f in (proj_loaded, filt_unique_hours, epi_two_signal, rep_waterfall, rep_waterfall_costs, rep_cleaned)}
 
 
 def _finite(c: str) -> str:
@@ -114,6 +121,11 @@ SQL = {
     "filt_unique_hours": f"WITH {LOADED} SELECT sku_id, fc, at_hour, units_sold FROM u",
     "epi_two_signal": f"WITH {LOADED}, {_cut('u', 's1', 'ep')} SELECT sku_id, fc, ep AS episode, count(*) AS row_count FROM s1 GROUP BY sku_id, fc, ep",
     "rep_waterfall": f"WITH {CHAIN}\n" + "\nUNION ALL ".join(_measure(k) for k in range(17)),
+    "rep_waterfall_costs": f"WITH {CHAIN},\nw AS (" + "\nUNION ALL ".join(_measure(k) for k in range(17)) + """)
+SELECT stage_no, stage, rows, episodes, exposure, lag(rows) OVER o - rows AS rows_dropped, lag(episodes) OVER o - episodes AS episodes_dropped,
+  round(exposure / nullif(first_value(exposure) OVER o, 0), 6) AS share_left, round(lag(exposure) OVER o - exposure, 2) AS exposure_dropped,
+  round((lag(exposure) OVER o - exposure) / nullif(first_value(exposure) OVER o, 0), 6) AS share_dropped
+FROM w WINDOW o AS (ORDER BY stage_no)""",
     "rep_cleaned": f"""WITH {CHAIN} SELECT concat_ws('|', CAST(sku_id AS VARCHAR), fc, strftime(TIMESTAMP '1970-01-01' + to_hours(CAST(ne AS BIGINT)), '%Y-%m-%dT%H')) AS episode_id,
   DATE '1970-01-01' + CAST(floor(at_hour / 24) AS INT) AS date, at_hour % 24 AS hour_of_day, starting_inventory, units_sold, hours_remaining, category,
   round(CASE WHEN category IN ('RED MEAT', 'POULTRY', 'SIDE PLATE') THEN CAST(0.25 AS DOUBLE) ELSE CAST(0.30 AS DOUBLE) END, 6) AS d_ref, round(1 - cost / original_price, 6) AS d_max,

@@ -144,3 +144,11 @@ def test_config(tmp_path):
             iso_date(bad, "d")
     with pytest.raises(ValueError):
         Config(train_start="2026-01-01", train_end="2025-01-01")
+
+
+def test_stages_are_given_what_they_took(spark):
+    w = spark.createDataFrame([(1, "b", 9, 4, 150.0), (0, "a", 10, 4, 200.0), (3, "d", 2, 1, 30.0), (2, "c", 9, 6, 170.0)], "stage_no int, stage string, rows long, episodes long, exposure double")
+    columns = ["rows_dropped", "episodes_dropped", "exposure_dropped", "share_dropped", "share_left"]
+    got = [tuple(r) for r in Q.stage_costs(w).orderBy("stage_no").select(*columns).collect()]
+    assert got == [(None, None, None, None, 1.0), (1, 0, 50.0, 0.25, 0.75), (0, -2, -20.0, -0.1, 0.85), (7, 5, 140.0, 0.7, 0.15)]
+    assert [r["share_dropped"] for r in Q.stage_costs(w.withColumn("exposure", F.lit(0.0))).collect()] == [None] * 4
