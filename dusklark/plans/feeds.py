@@ -9,45 +9,42 @@ from dusklark.functions.text import identifier, instant
 from dusklark.operators import once, orphans, rolling, sessions
 from dusklark.session import scratch, table, written
 
-#: Each feed is taken in as this many spans of time, the later ones against the history of the earlier.
-BATCHES = 2
+#: Each feed's batches are taken in as this many groups, the later ones against the history of the earlier.
+VERSIONS = 2
 
 
-def _feeds() -> dict[str, tuple[str, list[str], list]]:
+def _feeds() -> dict[str, tuple[str, list]]:
     return {
-        "decision_log": ("decision_id", ["received_at"], [F.col("received_at")]),
-        "outcome_log": ("outcome_id", ["received_at", "finalized_at"], [instant(F.col("finalized_at")), F.col("received_at")]),
+        "decision_log": ("decision_id", [F.col("received_at")]),
+        "outcome_log": ("outcome_id", [instant(F.col("finalized_at")), F.col("received_at")]),
     }
 
 
-def _store(spark: SparkSession, sf_dir: str, feed: str, columns: list[str] | None = None) -> tuple[once.OnceStore, DataFrame]:
-    key, needed, rank = _feeds()[feed]
-    rows = table(spark, sf_dir, feed)
-    if columns is not None:
-        rows = rows.select("delivery_id", key, *needed)
+def _store(spark: SparkSession, sf_dir: str, feed: str) -> once.OnceStore:
+    key, rank = _feeds()[feed]
     store = once.OnceStore(spark, scratch(spark, f"once-{feed}"), key, "delivery_id", "received_at", rank)
-    once.ingest_in_batches(store, rows, "received_at", BATCHES)
-    return store, rows
+    once.ingest_in_batches(store, table(spark, sf_dir, feed), "batch_id", "received_at", VERSIONS)
+    return store
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries that aren't kept: what the store of each feed doesn't hold once all its batches are in."""
+    """Deliveries that aren't kept: what the store of each feed, holding whole messages, doesn't hold once all its batches are in."""
     parts = []
     for feed in _feeds():
-        store, rows = _store(spark, sf_dir, feed, columns=[])
-        left = rows.select("delivery_id").join(store.current().select("delivery_id"), "delivery_id", "left_anti")
+        kept = _store(spark, sf_dir, feed).current().select("delivery_id")
+        left = table(spark, sf_dir, feed).select("delivery_id").join(kept, "delivery_id", "left_anti")
         parts.append(left.select(F.lit(feed).alias("feed"), "delivery_id"))
     return parts[0].unionByName(parts[1])
 
 
 def p1_kept_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The kept outcomes in full."""
-    return _store(spark, sf_dir, "outcome_log")[0].current()
+    return _store(spark, sf_dir, "outcome_log").current()
 
 
 def p1_kept_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The kept decisions in full."""
-    return _store(spark, sf_dir, "decision_log")[0].current()
+    return _store(spark, sf_dir, "decision_log").current()
 
 
 def p2_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:

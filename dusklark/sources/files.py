@@ -66,11 +66,8 @@ def scan_jdbc(spark: SparkSession, url: str, query: str, partitions: int = 1, co
 
 
 def write_report(spark: SparkSession, df: DataFrame, path: str, limit: int = 10_000) -> None:
-    """A small aggregate as one JSON document, written beside its place and renamed; refused above ``limit`` rows."""
+    """A small aggregate as one JSON document that takes the place of an earlier one in one step; refused above ``limit`` rows."""
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"a report of more than {limit} rows is a table; write it as one")
-    files = SharedFiles(spark, path)
-    if files.exists(path):
-        files.delete(path)
-    files.write_new(path, json.dumps([r.asDict(recursive=True) for r in rows], default=str, ensure_ascii=False))
+    SharedFiles(spark, path).replace(path, json.dumps([r.asDict(recursive=True) for r in rows], default=str, ensure_ascii=False))
