@@ -62,18 +62,25 @@ def _existence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans.record_deltas(t("decision_log"), "decision_id", "received_at", t("decision_voids"), "decision_id", "voided_at")
 
 
-def _outcome_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphans.references("outcome_log", table(spark, sf_dir, "outcome_log"), identifier(F.col("outcome_id")), F.col("decision_id"), F.col("received_at"))
+def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes, ledger = table(spark, sf_dir, "outcome_log"), table(spark, sf_dir, "spread_ledger")
+    c = F.col
+    a = orphans.references("outcome_log", outcomes, identifier(c("outcome_id")), c("decision_id"), c("received_at"), c("delivery_id"))
+    b = orphans.references("spread_ledger", ledger, c("ledger_id").cast("string"), c("decision_id"), c("received_at"), F.lit(None))
+    return written(a.unionByName(b), "references")  # read for the counts and again for what they name
 
 
-def _all_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = orphans.references("spread_ledger", table(spark, sf_dir, "spread_ledger"), F.col("ledger_id").cast("string"), F.col("decision_id"), F.col("received_at"))
-    return _outcome_references(spark, sf_dir).unionByName(ledger)
+def _counts(spark: SparkSession, sf_dir: str, refs: DataFrame) -> DataFrame:
+    """The stored counts after the decisions' and the references' deltas."""
+    store = orphans.CountStore(spark, scratch(spark, "counts"))
+    store.apply(1, _existence(spark, sf_dir))
+    store.apply(2, orphans.deltas(refs, refs=F.lit(1)))
+    return store.state()
 
 
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # read for the hot keys, their rows and the rest
-    return orphans.orphan_references(written(_all_references(spark, sf_dir), "references"), _existence(spark, sf_dir))
+    refs = _references(spark, sf_dir)
+    return orphans.orphan_references(refs, written(_counts(spark, sf_dir, refs), "state"))  # read for hot keys, their rows and the rest
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,24 +88,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orphans per table, month and kind."""
+    """Orphans per table, month and kind; every delivery of an outcome without identifier counts."""
     return orphans.orphan_report(_orphans(spark, sf_dir))
 
 
-def _current_keys(refs: DataFrame, exist: DataFrame) -> DataFrame:
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    deltas = exist.select("key", zero.alias("refs"), "exist").unionByName(refs.select("key", one.alias("refs"), zero.alias("exist")))
-    return orphans.orphan_keys(orphans.apply_deltas(None, deltas))
-
-
 def p4_current_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys that outcomes reference now and that don't exist now, from summed change deltas; the ledger's are in ``p4_current_keys_all``."""
-    return _current_keys(_outcome_references(spark, sf_dir), _existence(spark, sf_dir))
-
-
-def p4_current_keys_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys that outcomes or ledger rows reference now and that don't exist now, from summed change deltas."""
-    return _current_keys(_all_references(spark, sf_dir), _existence(spark, sf_dir))
+    """Keys that outcomes or ledger rows reference now and that don't exist now, from the signed counts."""
+    return orphans.orphan_keys(_counts(spark, sf_dir, _references(spark, sf_dir)))
 
 
 def p5_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +114,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("sku_id", "fc", F.date_format("date", "yyyy-MM-dd").alias("day"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kept_outcomes, p1_kept_decisions, p2_found, p2_episodes, p4_found, p4_report, p4_current_keys, p4_current_keys_all, p5_found, p5_trailing, p5_trailing_all)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kept_outcomes, p1_kept_decisions, p2_found, p2_episodes, p4_found, p4_report, p4_current_keys, p5_found, p5_trailing, p5_trailing_all)}
 
 # White space around identifiers, as the Spark side strips it.
 _BLANK = r"[\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -153,10 +149,10 @@ SELECT sku_id, fc, strftime(TIMESTAMP '1970-01-01' + to_hours(CAST(a AS BIGINT))
 _ORPHANS = f"""
 WITH born AS (SELECT {_same("decision_id")} AS k, min(received_at) AS b FROM decision_log GROUP BY 1),
 gone AS (SELECT {_same("decision_id")} AS k, min(voided_at) AS v FROM decision_voids GROUP BY 1),
-o AS (SELECT {_same("outcome_id")} AS child_id, {_same("decision_id")} AS k, received_at FROM outcome_log),
-m AS (SELECT child_id, min(received_at) AS moment FROM o GROUP BY 1),
-refs AS (SELECT DISTINCT 'outcome_log' AS child_table, o.child_id, o.k, m.moment FROM o JOIN m USING (child_id) WHERE o.k IS NOT NULL
-  UNION ALL SELECT 'spread_ledger', CAST(ledger_id AS VARCHAR), {_same("decision_id")}, received_at FROM spread_ledger WHERE {_same("decision_id")} IS NOT NULL),
+o AS (SELECT {_same("outcome_id")} AS child_id, coalesce({_same("outcome_id")}, chr(1) || delivery_id) AS who, {_same("decision_id")} AS k, received_at FROM outcome_log),
+m AS (SELECT who, min(received_at) AS moment FROM o GROUP BY 1),
+refs AS (SELECT DISTINCT 'outcome_log' AS child_table, o.child_id, who, o.k, m.moment FROM o JOIN m USING (who) WHERE o.k IS NOT NULL
+  UNION ALL SELECT 'spread_ledger', CAST(ledger_id AS VARCHAR), CAST(ledger_id AS VARCHAR), {_same("decision_id")}, received_at FROM spread_ledger WHERE {_same("decision_id")} IS NOT NULL),
 found AS (SELECT child_table, child_id, refs.k, moment, CASE WHEN b IS NULL THEN 'missing' WHEN v <= moment THEN 'deleted' WHEN b > moment THEN 'late' END AS kind
   FROM refs LEFT JOIN born ON refs.k = born.k LEFT JOIN gone ON refs.k = gone.k)
 """
@@ -196,8 +192,7 @@ SQL = {
     "p2_episodes": _EPISODES + ", CAST(z - a AS BIGINT) AS duration_hours, row_count FROM e",
     "p4_found": _ORPHANS + "SELECT DISTINCT child_table, child_id, kind FROM found WHERE kind IS NOT NULL",
     "p4_report": _ORPHANS + "SELECT child_table, strftime(moment, '%Y-%m') AS period, kind, count(*) AS orphans, count(DISTINCT k) AS keys FROM found WHERE kind IS NOT NULL GROUP BY 1, 2, 3",
-    "p4_current_keys": _ORPHANS + "SELECT o.k AS key, count(DISTINCT o.child_id) AS refs FROM o LEFT JOIN born ON o.k = born.k LEFT JOIN gone ON o.k = gone.k WHERE o.k IS NOT NULL AND (b IS NULL OR v IS NOT NULL) GROUP BY 1",
-    "p4_current_keys_all": _ORPHANS + "SELECT refs.k AS key, count(*) AS refs FROM refs LEFT JOIN born ON refs.k = born.k LEFT JOIN gone ON refs.k = gone.k WHERE b IS NULL OR v IS NOT NULL GROUP BY 1",
+    "p4_current_keys": _ORPHANS + "SELECT refs.k AS key, count(*) AS refs FROM refs LEFT JOIN born ON refs.k = born.k LEFT JOIN gone ON refs.k = gone.k WHERE b IS NULL OR v IS NOT NULL GROUP BY 1",
     "p5_found": _STALE,
     "p5_trailing": _TRAILING,
     "p5_trailing_all": _TRAILING_ALL,

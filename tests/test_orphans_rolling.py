@@ -8,6 +8,7 @@ from dusklark.functions.text import identifier
 from dusklark.operators import orphans as O
 from dusklark.operators import rolling as R
 from dusklark.operators.skew import hot_keys, lookup_join
+from dusklark.session import scratch
 
 
 def t(h):
@@ -18,9 +19,10 @@ def found(spark, records, voids, children):
     rec = spark.createDataFrame(records, "decision_id string, received_at timestamp, key string")
     voi = spark.createDataFrame(voids, "decision_id string, voided_at timestamp")
     chi = spark.createDataFrame(children, "outcome_id string, decision_id string, received_at timestamp, moment string, kind int")
-    deltas = O.record_deltas(rec, "decision_id", "received_at", voi, "decision_id", "voided_at")
-    refs = O.references("outcome_log", chi, identifier(F.col("outcome_id")), F.col("decision_id"), F.col("received_at"))
-    return sorted((r["child_id"] or "", r["key"], r["kind"]) for r in O.orphan_references(refs, deltas).collect())
+    exist = O.record_deltas(rec, "decision_id", "received_at", voi, "decision_id", "voided_at")
+    refs = O.references("outcome_log", chi, identifier(F.col("outcome_id")), F.col("decision_id"), F.col("received_at"), F.monotonically_increasing_id())
+    state = O.apply_deltas(O.apply_deltas(None, O.deltas(refs, refs=F.lit(1))), exist)
+    return sorted((r["child_id"] or "", r["key"], r["kind"]) for r in O.orphan_references(refs, state).collect())
 
 
 def test_kinds_of_orphans(spark):
@@ -28,9 +30,10 @@ def test_kinds_of_orphans(spark):
     voids = [("GONE", t(3)), ("gone", t(7)), ("unknown", t(0)), ("a", t(8)), (None, t(1))]
     children = [
         ("o1", "a", t(0), "m", 1), ("o2", "nope", t(5), "m", 1), ("o3", "LATE\t", t(5), "m", 1), ("o4", "gone", t(3), "m", 1), ("o5", "gone", t(2), "m", 1),
-        ("o6", None, t(5), "m", 1), ("o7", " \t", t(5), "m", 1), ("O2 ", "nope", t(6), "m", 1), ("o8", "unknown", t(5), "m", 1), ("o9", "a", t(8), "m", 1), (None, "nope", t(1), "m", 1),
+        ("o6", None, t(5), "m", 1), ("o7", " \t", t(5), "m", 1), ("O2 ", "nope", t(6), "m", 1), ("o8", "unknown", t(5), "m", 1), ("o9", "a", t(8), "m", 1), (None, "nope", t(1), "m", 1), (" ", "nope", t(1), "m", 1), ("o10", "nope", None, "m", 1),
     ]
-    assert found(spark, records, voids, children) == [("", "nope", "missing"), ("o2", "nope", "missing"), ("o3", "late", "late"), ("o4", "gone", "deleted"), ("o8", "unknown", "missing"), ("o9", "a", "deleted")]
+    # children without identifier count one by one
+    assert found(spark, records, voids, children) == [("", "nope", "missing"), ("", "nope", "missing"), ("o10", "nope", "missing"), ("o2", "nope", "missing"), ("o3", "late", "late"), ("o4", "gone", "deleted"), ("o8", "unknown", "missing"), ("o9", "a", "deleted")]
 
 
 def test_moment_is_the_childs_earliest(spark):
@@ -42,13 +45,37 @@ def test_empty_tables(spark):
     assert found(spark, [], [], [("o", "k", t(1), "m", 1)]) == [("o", "k", "missing")]
 
 
+DELTA = "key string, at timestamp, refs long, exist long"
+DELTAS = [("a", t(1), 1, 0), ("a", t(1), 1, 0), ("a", t(2), 0, 1), ("b", t(3), 1, 0), ("c", t(1), 1, 1), ("a", t(1), -2, 0), ("a", t(2), 0, -1), (None, t(1), 5, 0), ("b", t(3), None, None), ("d", None, 0, 1), ("d", t(0), 1, 0)]
+
+
 def test_deltas_commute_and_cancel(spark):
-    rows = [("a", 1, 0), ("a", 1, 0), ("a", 0, 1), ("b", 1, 0), ("c", 1, 1), ("a", -2, -1), (None, 5, 0), ("b", None, None)]
-    d = spark.createDataFrame(rows, "key string, refs long, exist long")
+    d = spark.createDataFrame(DELTAS, DELTA)
     whole = O.apply_deltas(None, d)
     halves = O.apply_deltas(O.apply_deltas(None, d.filter("refs > 0")), d.filter("NOT refs > 0 OR refs IS NULL"))
-    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, halves.collect())) == [("b", 1, 0), ("c", 1, 1)]
+    want = [("b", t(3), 1, 0), ("c", t(1), 1, 1), ("d", None, 0, 1), ("d", t(0), 1, 0)]
+    plain = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    assert plain(whole) == plain(halves) == sorted(want, key=str)
     assert [r["key"] for r in O.orphan_keys(whole).collect()] == ["b"]
+    assert [(r["key"], r["at"], r["kind"]) for r in O.orphan_moments(whole).collect()] == [("b", t(3), "missing")]
+
+
+def test_stored_state_after_three_batches(spark, monkeypatch):
+    monkeypatch.setattr(O, "MAX_CHANGES", 2)  # the third batch puts all together
+    d = lambda *rows: spark.createDataFrame(rows, DELTA)
+    s = O.CountStore(spark, scratch(spark, "counts"))
+    with pytest.raises(ValueError):
+        s.state()
+    keys = lambda: sorted(map(tuple, O.orphan_keys(s.state()).collect()))
+    assert s.apply(1, d(("a", t(1), 1, 0), ("b", t(1), 1, 0), ("c", t(0), 0, 1), ("c", t(1), 1, 0)))
+    assert keys() == [("a", 1), ("b", 1)]
+    assert s.apply(2, d(("a", t(5), 0, 1), ("b", t(6), 1, 0))) and not s.apply(2, d(("z", t(5), 1, 0)))
+    assert keys() == [("b", 2)]
+    assert s.apply(3, d(("c", t(4), 0, -1), ("b", t(1), -1, 0), ("b", t(6), -1, 0), ("a", t(6), 1, 0), ("c", t(3), 1, 0), ("c", t(4), 1, 0)))
+    assert keys() == [("c", 3)]
+    assert len(s._manifest()["folders"]) == 1
+    # a's first reference came before the record; of c's three only the one from the withdrawal on is an orphan
+    assert sorted((r["key"], r["at"], r["refs"], r["kind"]) for r in O.orphan_moments(s.state()).collect()) == [("a", t(1), 1, "late"), ("c", t(4), 1, "deleted")]
 
 
 def test_current_keys_count_both_child_tables(spark, tmp_path):
@@ -57,12 +84,12 @@ def test_current_keys_count_both_child_tables(spark, tmp_path):
     tables = {
         "decision_log": ([("a", t(0)), ("b", t(0))], "decision_id string, received_at timestamp"),
         "decision_voids": ([("B", t(1))], "decision_id string, voided_at timestamp"),
-        "outcome_log": ([("o1", "b", t(2)), ("O1", " B", t(3)), ("o2", "a", t(2)), ("o3", None, t(2))], "outcome_id string, decision_id string, received_at timestamp"),
+        "outcome_log": ([("o1", "b", t(2), 1), ("O1", " B", t(3), 2), ("o2", "a", t(2), 3), ("o3", None, t(2), 4), (None, "b", t(2), 5), (None, "b", t(2), 6)], "outcome_id string, decision_id string, received_at timestamp, delivery_id long"),
         "spread_ledger": ([(1, "B ", t(2)), (2, "nope", t(2)), (3, "a", t(2)), (4, " ", t(2))], "ledger_id long, decision_id string, received_at timestamp"),
     }
     for name, (rows, schema) in tables.items():
         spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
-    assert sorted(map(tuple, feeds.p4_current_keys_all(spark, str(tmp_path)).collect())) == [("b", 2), ("nope", 1)]
+    assert sorted(map(tuple, feeds.p4_current_keys(spark, str(tmp_path)).collect())) == [("b", 4), ("nope", 1)]
 
 
 def test_hot_key_join_keeps_every_row(spark):
