@@ -1,20 +1,24 @@
 """Grouping activity into sessions by merging intervals.
 
-Every event opens the interval from its moment to ``gap`` later. Intervals of one key that overlap or touch, and whose
-neighbours satisfy an optional rule, merge into one session. The merge runs in two steps so that no task has to hold a
-hot key: inside (key, time bucket), where a bucket's pieces are cut; then, over the first and last piece of each
-bucket only, along the key. Pieces in the middle of a bucket are complete and never leave their task.
+Every event opens the interval from its moment to ``gap`` later; intervals of one key that overlap or touch, and whose
+counters satisfy an optional rule where they meet, merge into one session (:mod:`dusklark.operators.intervals`). The
+merge runs twice so that no task has to hold a hot key: inside (key, time bucket), and then along the key over the
+first and last interval of each bucket only. Intervals in the middle of a bucket are complete and travel alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-Rule = Callable[[Column, Column], Column]
+from dusklark.functions.text import code
+from dusklark.operators.intervals import Rule, countdown, merge_sorted
+
+_FIELDS = "_b0 long, _b1 long, _start long, _until long, _first double, _last double, _n long"
 
 
 def latest_copy(df: DataFrame, keys: list[str], order: list[str], keep: list[str]) -> DataFrame:
@@ -28,43 +32,37 @@ def merge_sessions(df: DataFrame, keys: list[str], at: str, gap: int, bucket: in
 
     at: an integer moment (seconds, hours, ...); ``gap`` and ``bucket`` are in its unit. ``end`` is the last event's
     moment, so ``duration`` is 0 for a single event. Rows with a NULL key or moment belong to no session and are left
-    out; equal moments are all counted. ``carry`` names a column that ``rule(previous, current)`` compares between
-    neighbours; a NULL verdict counts as false. With a rule, moments must be unique in a key, or neighbours among
-    equal moments are arbitrary. An empty table gives an empty table; other columns are ignored.
+    out; equal moments are all counted. ``carry`` names a counter that ``rule(previous, current)`` compares where
+    intervals meet (NULL is NaN there). With a rule, moments must be unique in a key, or neighbours among equal moments
+    are arbitrary. Keys are of plain types. An empty table gives an empty table; other columns are ignored.
     """
-    value = F.col(carry) if carry else F.lit(None).cast("double")
-    base = df.dropna(subset=[*keys, at]).select(*keys, F.col(at).alias("_t"), value.alias("_c"), F.floor(F.col(at) / bucket).alias("_bucket"))
-
-    def joins(prev_end: Column, prev_c: Column, cur_t: Column, cur_c: Column) -> Column:
-        near = cur_t - prev_end <= gap
-        return F.coalesce(near if rule is None else near & rule(prev_c, cur_c), F.lit(False))
-
-    inside = W.partitionBy(*keys, "_bucket").orderBy("_t")
-    opens = (~joins(F.lag("_t").over(inside), F.lag("_c").over(inside), F.col("_t"), F.col("_c"))).cast("int")
-    numbered = base.withColumn("_open", opens).withColumn("_piece", F.sum("_open").over(inside))
-    first, last = F.min(F.struct("_t", "_c")), F.max(F.struct("_t", "_c"))
-    pieces = numbered.groupBy(*keys, "_bucket", "_piece").agg(first.alias("_a"), last.alias("_z"), F.count(F.lit(1)).alias("_n"))
-    whole = W.partitionBy(*keys, "_bucket")
-    pieces = pieces.withColumn("_last", F.max("_piece").over(whole))
-
-    # a middle piece gets a lane of its own, the pieces at the edges of a key's buckets share one
-    middle = (F.col("_piece") > 1) & (F.col("_piece") < F.col("_last"))
-    lanes = pieces.withColumn("_lane_bucket", F.when(middle, F.col("_bucket"))).withColumn("_lane_piece", F.when(middle, F.col("_piece")))
-    lane = [*keys, "_lane_bucket", "_lane_piece"]
-    along = W.partitionBy(*lane).orderBy("_a._t", "_piece")
-    prev = F.lag("_z").over(along)
-    # two pieces of one bucket were cut apart there and stay apart
-    same = F.lag("_bucket").over(along).eqNullSafe(F.col("_bucket"))
-    starts = (same | ~joins(prev["_t"], prev["_c"], F.col("_a._t"), F.col("_a._c"))).cast("int")
-    merged = lanes.withColumn("_open", starts).withColumn("_session", F.sum("_open").over(along))
-    merged = merged.groupBy(*lane, "_session").agg(F.min("_a._t").alias("start"), F.max("_z._t").alias("end"), F.sum("_n").alias("events"))
-    return merged.select(*keys, "start", "end", (F.col("end") - F.col("start")).alias("duration"), "events")
-
-
-def countdown_rule(previous: Column, current: Column) -> Column:
-    """The counter falls by one from hour to hour; where either is NULL, NaN or negative the clock alone decides."""
-    unknown = previous.isNull() | current.isNull() | F.isnan(previous) | F.isnan(current) | (previous < 0) | (current < 0)
-    return F.when(unknown, F.lit(True)).otherwise(current == previous - 1)
+    counter = F.col(carry).cast("double") if carry else F.lit(None).cast("double")
+    moment, near = F.col(at).cast("long"), F.floor(F.col(at) / bucket)
+    fields = [near.alias("_b0"), near.alias("_b1"), moment.alias("_start"), (moment + F.lit(gap)).alias("_until"), counter.alias("_first"), counter.alias("_last"), F.lit(1).cast("long").alias("_n")]
+    opened = df.dropna(subset=[*keys, at]).select(*keys, *fields)
+    plain = T.StructType([*opened.select(*keys).schema, *T._parse_datatype_string(_FIELDS), T.StructField("_edge", T.BooleanType())])
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return merge_sorted(batches, [*keys, "_b0"], rule, across=False)
+
+    pieces = opened.repartition(*keys, "_b0").sortWithinPartitions(*keys, "_b0", "_start").mapInArrow(inside, plain)
+    # the edges of a key's buckets meet in one lane, any other interval has a lane of its own
+    lanes = pieces.withColumn("_lane", F.when(~F.col("_edge"), F.col("_start"))).drop("_edge")
+
+    def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return merge_sorted(batches, [*keys, "_lane"], rule, across=True)
+
+    wide = T.StructType([*plain.fields[:-1], T.StructField("_lane", T.LongType()), plain.fields[-1]])
+    merged = lanes.repartition(*keys, "_lane").sortWithinPartitions(*keys, "_lane", "_start").mapInArrow(along, wide)
+    end = F.col("_until") - gap
+    return merged.select(*keys, F.col("_start").alias("start"), end.alias("end"), (end - F.col("_start")).alias("duration"), F.col("_n").alias("events"))
+
+
+def hourly(raw: DataFrame) -> DataFrame:
+    """Raw hourly rows as ``sku_id, fc, at_hour`` (hours since 1970), ``loaded_at, row_id, counter``, those without a place left out."""
+    at = F.unix_date("date").cast("long") * 24 + F.col("hour_of_day")
+    rows = raw.select("sku_id", code(F.col("fc")).alias("fc"), at.alias("at_hour"), "loaded_at", "row_id", F.col("hours_remaining").cast("double").alias("counter"))
+    return rows.dropna(subset=["sku_id", "fc", "at_hour"])
 
 
 def selling_episodes(raw: DataFrame, bucket_hours: int = 24 * 28) -> DataFrame:
@@ -74,18 +72,8 @@ def selling_episodes(raw: DataFrame, bucket_hours: int = 24 * 28) -> DataFrame:
     midnight. Rows without sku, fc, date or hour don't count; of several rows for one hour the one loaded last does
     (then the largest ``row_id``).
     """
-    from dusklark.functions.text import code
-
-    hours = raw.select(
-        "sku_id",
-        code(F.col("fc")).alias("fc"),
-        (F.unix_date("date").cast("long") * 24 + F.col("hour_of_day")).alias("at_hour"),
-        "loaded_at",
-        "row_id",
-        F.col("hours_remaining").cast("double").alias("counter"),
-    ).dropna(subset=["sku_id", "fc", "at_hour"])
-    one = latest_copy(hours, ["sku_id", "fc", "at_hour"], ["loaded_at", "row_id"], ["counter"])
-    return merge_sessions(one, ["sku_id", "fc"], "at_hour", gap=1, bucket=bucket_hours, carry="counter", rule=countdown_rule)
+    one = latest_copy(hourly(raw), ["sku_id", "fc", "at_hour"], ["loaded_at", "row_id"], ["counter"])
+    return merge_sessions(one, ["sku_id", "fc"], "at_hour", gap=1, bucket=bucket_hours, carry="counter", rule=countdown)
 
 
 def hour_text(hours: Column) -> Column:
