@@ -48,11 +48,13 @@ def trailing_totals(rows: DataFrame, entity: list[str], date: str, value: str, p
     daily = daily_totals(rows, entity, date, value)
     dates = calendar(daily, entity, width, to_end) if days is None else days
     # a total counts for days in its own bucket and in the one after
-    reach = daily.select(*entity, F.col("day").alias("total_day"), "total", F.explode(F.sequence(F.floor(F.col("day") / width), F.floor((F.col("day") + width - 1 + shift) / width))).alias("bucket"))
+    reach = daily.select(*[F.col(e).alias(f"_e{i}") for i, e in enumerate(entity)], F.col("day").alias("total_day"), "total", F.explode(F.sequence(F.floor(F.col("day") / width), F.floor((F.col("day") + width - 1 + shift) / width))).alias("_bucket"))
     age = F.col("day") - F.col("total_day")
-    near = (age >= shift) & (age < width + shift)
-    out = dates.join(reach, [*entity, "bucket"], "left")
-    sums = [F.coalesce(F.sum(F.when(near & (age < n + shift), F.col("total"))), F.lit(0)).alias(f"total_{n}d") for n in periods]
+    near = (F.col("bucket") == F.col("_bucket")) & age.between(shift, width + shift - 1)
+    for i, e in enumerate(entity):
+        near = near & (F.col(e) == F.col(f"_e{i}"))
+    out = dates.join(reach, near, "left")
+    sums = [F.coalesce(F.sum("total" if n == width else F.when(age < n + shift, F.col("total"))), F.lit(0)).alias(f"total_{n}d") for n in periods]
     out = out.groupBy(*entity, "bucket", "day", "first_day").agg(*sums)
     means = [(F.col(f"total_{n}d") / F.lit(float(n))).alias(f"mean_{n}d") for n in periods]
     totals = [F.col(f"total_{n}d") for n in periods]
