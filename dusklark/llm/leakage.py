@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,17 +21,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dusklark.llm.fmindex import FMIndex
-from dusklark.session import spread
+from dusklark.session import scratch, spread
 
 WORDS = 12
 #: Words of text in one shard, and words of evaluation items sent to the tasks at a time.
 SHARD_WORDS, BLOCK_WORDS = 1_000_000, 2_000_000
+#: Characters of text held for a shard, whatever words they make.
+SHARD_CHARS = 16_000_000
 #: Rows of the suffix order located at a time.
 LOCATE_AT_ONCE = 1_000_000
 SEPARATOR, OTHER, FIRST_WORD = 1, 2, 3
 _FORMAT = regex.compile(r"\p{Cf}+")
 _WORD = re.compile(r"[^\W_]+")
-_CLUSTER = regex.compile(r"\X")
 
 
 def normal(text: str | None) -> str:
@@ -47,21 +49,43 @@ def split_words(text: str | None) -> list[str]:
     return _WORD.findall(normal(text))
 
 
+@lru_cache(maxsize=1)
+def _follows() -> frozenset[str]:
+    """Characters that a composition may put together with the one before them."""
+    seconds = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}  # vowels and finals of Hangul
+    for cp in range(0x110000):
+        parts = unicodedata.decomposition(chr(cp)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            seconds.add(chr(int(parts[1], 16)))
+    return frozenset(seconds)
+
+
+@lru_cache(maxsize=65_536)
+def _opens(c: str) -> bool:
+    """Whether normalising what stands before a character and what begins with it apart gives the same as together."""
+    if c.isascii():
+        return True
+    first = unicodedata.normalize("NFKD", c)[0]
+    return unicodedata.combining(first) == 0 and first not in _follows()
+
+
 def word_places(text: str) -> list[tuple[int, int]]:
     """Where each word of :func:`split_words` stands in the text as written.
 
-    The text is normalised grapheme by grapheme; should that not give the same normalised text, every word is placed
-    at the whole text.
+    Format characters go first, as they do in :func:`normal`. What is left is normalised in the smallest pieces whose
+    normal forms together are that of the whole; a word stands where the pieces that it touches stand.
     """
+    at = list(range(len(text)))
+    if not text.isascii():
+        gone = {i for m in _FORMAT.finditer(text) for i in range(*m.span())}
+        at = [i for i in at if i not in gone]
+    starts = [k for k, i in enumerate(at) if k == 0 or _opens(text[i])]
     pieces, places = [], []
-    for m in _CLUSTER.finditer(text):
-        p = normal(m.group())
+    for a, z in zip(starts, [*starts[1:], len(at)]):
+        p = normal("".join(text[i] for i in at[a:z]))
         pieces.append(p)
-        places += [(m.start(), m.end())] * len(p)
-    joined, whole = "".join(pieces), normal(text)
-    if joined != whole:
-        return [(0, len(text)) for _ in _WORD.finditer(whole)]
-    return [(places[m.start()][0], places[m.end() - 1][1]) for m in _WORD.finditer(joined)]
+        places += [(at[a], at[z - 1] + 1)] * len(p)
+    return [(places[m.start()][0], places[m.end() - 1][1]) for m in _WORD.finditer("".join(pieces))]
 
 
 class Phrases:
@@ -130,14 +154,12 @@ def merged(starts: np.ndarray, stops: np.ndarray, groups: np.ndarray) -> tuple[n
     return s[first], np.maximum.reduceat(e, first), g[first]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of bounded size, read one after the other."""
+def _blocks(items: DataFrame, id_col: str, text_col: str) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """How many blocks of bounded size the items make, and the blocks, read one after the other."""
     plain = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).filter("i IS NOT NULL AND t IS NOT NULL")
     chars = plain.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
     count = max(1, -(-chars // (4 * BLOCK_WORDS)))
-    for b in range(count):
-        part = plain.filter(F.pmod(F.xxhash64("i"), F.lit(count)) == b)
-        yield [(r["i"], r["t"]) for r in part.collect()]
+    return count, ([(r["i"], r["t"]) for r in plain.filter(F.pmod(F.xxhash64("i"), F.lit(count)) == b).collect()] for b in range(count))
 
 
 def leaked_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", words: int = WORDS) -> DataFrame:
@@ -146,34 +168,39 @@ def leaked_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_
     A span is a longest chain of overlapping or touching occurrences of one item's phrases; word numbers count from
     0, ends are exclusive, characters are those of the text as written. NULL and empty texts and items without a word
     have no spans; repeated documents each have their own; an item with several ids counts for each. Documents
-    longer than a shard are cut with an overlap of ``words - 1`` words, so no phrase is lost at a cut.
+    longer than a shard are cut with an overlap of ``words - 1`` words, so no phrase is lost at a cut. Where the items
+    are more than one block, the blocks are searched in turn, each block's spans are written and its phrases given up
+    before the next is read.
     """
     spark = docs.sparkSession
     id_type = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {id_type}, item_id long, word_start long, word_end long, char_start long, char_end long"
-    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text")).filter("text IS NOT NULL")
-    plain = spread(plain)
-    out = None
-    for block in _blocks(items, item_id, item_text):
+    plain = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text")).filter("text IS NOT NULL"))
+    count, blocks = _blocks(items, item_id, item_text)
+    path = scratch(spark, "spans") if count > 1 else None
+    for block in blocks:
         sent = spark.sparkContext.broadcast(Phrases(block, words))
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            phrases, buffer, held, kind = sent.value, [], 0, pa.null()
+            phrases, buffer, held, chars, kind = sent.value, [], 0, 0, pa.null()
             for b in batches:
                 kind = b.schema.field("doc_id").type
                 for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                     ids = phrases.numbered(split_words(text))
                     buffer.append((i, text, ids))
-                    held += len(ids)
-                    if held >= SHARD_WORDS:
+                    held, chars = held + len(ids), chars + len(text)
+                    if held >= SHARD_WORDS or chars >= SHARD_CHARS:
                         yield _search(phrases, buffer, kind)
-                        buffer, held = [], 0
+                        buffer, held, chars = [], 0, 0
             if buffer:
                 yield _search(phrases, buffer, kind)
 
         part = plain.mapInArrow(search, schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+        if path is None:
+            return part
+        part.write.mode("append").parquet(path)
+        sent.destroy()
+    return spark.read.schema(schema).parquet(path)
 
 
 def _search(phrases: Phrases, buffer: list[tuple[object, str, np.ndarray]], kind: pa.DataType) -> pa.RecordBatch:

@@ -48,6 +48,28 @@ def test_words_are_normalised_and_placed():
     assert K.split_words(None) == K.split_words(" ​") == []
 
 
+@pytest.mark.parametrize("text", [
+    "a\u200b\u0301b c", "ㄱㅏ나 ㅎㅏㄴ글 x\u200dy", "e\u0327\u0301 ¨x ﾊﾞﾊﾟ ｶ\uff9e", "\u0301start \ufeffﬁ\u00adn ½ 2\u2075", "\u200b", "นำ คำ \u0e4d\u0e32", "क़\u093c \u09c7\u09be",
+])
+def test_places_need_no_fallback(text):
+    """Format characters between a letter and its accent, letters that are put together over the edges of what a reader sees as one."""
+    filler = "word " * 100
+    for t in (text, filler + text + " " + filler):
+        words, places = K.split_words(t), K.word_places(t)
+        assert len(words) == len(places)
+        for w, (a, z) in zip(words, places):
+            assert w in K.normal(t[a:z]) and z - a <= max(4, len(text))
+
+
+def test_normal_pieces_are_the_normal_text():
+    rng = random.Random(11)
+    pool = [chr(c) for r in (range(0x20, 0x7F), range(0xA0, 0x370), range(0x1100, 0x1200), range(0x3130, 0x3190), range(0xAC00, 0xAC80), range(0x900, 0xA00), range(0xFF00, 0xFFEF), range(0x200B, 0x2010)) for c in r]
+    for _ in range(400):
+        t = "".join(rng.choice(pool) for _ in range(rng.randrange(1, 40)))
+        words, places = K.split_words(t), K.word_places(t)
+        assert len(words) == len(places) and all(w in K.normal(t[a:z]) for w, (a, z) in zip(words, places))
+
+
 def brute(docs, items, n=12):
     out = set()
     for d, t in docs:
@@ -106,3 +128,35 @@ def test_items_in_blocks(spark, monkeypatch):
     items = [(i, f"x{i} y{i} z{i}") for i in range(20)]
     docs = [(i, f"q x{i} y{i} z{i} r") for i in range(20)]
     assert {(r["doc_id"], r["item_id"]) for r in pairs(spark, docs, items).collect()} == {(i, i) for i in range(20)}
+
+
+def test_removal_spans_of_the_smallest_tables_match_brute_force(spark):
+    """Every run of twelve words of an item that stands in a document lies in its spans, and every end of a span is one of such a run."""
+    from dusklark.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    items = [K.split_words(r["text"]) for r in spark.read.parquet(f"{sf}/heldout_items.parquet").collect()]
+    phrases = {tuple(v[a : a + 12]) for v in items for a in range(max(1, len(v) - 11)) if v}
+    lengths = {len(p) for p in phrases}
+    want = {}
+    for d, text in docs.items():
+        w = K.split_words(text)
+        runs = sorted((a, a + n) for n in lengths for a in range(len(w) - n + 1) if tuple(w[a : a + n]) in phrases)
+        places = K.word_places(text) if runs else []
+        chars = []
+        for a, z in runs:
+            s, e = places[a][0], places[z - 1][1]
+            if chars and s <= chars[-1][1]:
+                chars[-1][1] = max(chars[-1][1], e)
+            else:
+                chars.append([s, e])
+        if chars:
+            want[d] = chars
+    got = {r["doc_id"]: [[s["char_start"], s["char_end"]] for s in r["spans"]] for r in queries.p7_removal_spans(spark, sf).collect()}
+    assert got.keys() == want.keys() and want
+    # spans of one item merge by words, so runs that touch are one span; by characters they may be several
+    for d in want:
+        inside = lambda spans, x: any(a <= x[0] and x[1] <= z for a, z in spans)
+        assert all(inside(got[d], x) for x in want[d])
+        assert {a for a, _ in got[d]} <= {a for a, _ in want[d]} and {z for _, z in got[d]} <= {z for _, z in want[d]}
