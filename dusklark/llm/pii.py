@@ -36,6 +36,7 @@ _EXTENSION = re.compile(r"[\s,;]*(?:ext|x|ex|Durchwahl|Dw|내선|#)\.?\s*\d*$",
 _DOTTED = re.compile(r"(?:\brd|str)$", re.IGNORECASE)
 _ABBREVIATED = re.compile(r"\b(?:st|ave|ln|blvd|pl|sq|dr)$", re.IGNORECASE)
 _AT = re.compile(r"[@＠]|[(\[{<]\s*(?:at|ät)\s*[)\]}>]|\sat\s", re.IGNORECASE)
+_PLAIN_EMAIL = re.compile(r"[^\s<>(),;:\"']+[@＠][^\s<>(),;:\"']+(?:\s+dot\s+[^\s<>(),;:\"']+)*(?<![.!?])")
 
 
 def windows(length: int) -> list[tuple[int, int]]:
@@ -86,6 +87,9 @@ def settled(text: str, a: int, z: int, kind: str) -> tuple[int, int] | None:
         lead, end = len(s) - len(s.lstrip(" <(\"'\t\n:;,")), len(s.rstrip(" >)\"'\t\n:;,.!?"))
         if end <= lead or not _AT.search(s[lead:end]):
             return None
+        # written with the sign, an address has no blank in front of it and none behind but around a spelled-out dot
+        if m := _PLAIN_EMAIL.search(s, lead, end):
+            lead, end = m.span()
         return a + lead, a + end
     if kind == "address":
         lead, end = len(s) - len(s.lstrip(" \t\n:;,.\"'")), len(s.rstrip(" \t\n:;,.\"'"))

@@ -1,23 +1,31 @@
-"""Training of the tagger: ``python -m dusklark.llm.pii_train DOCUMENTS.parquet [MODEL.npz [SECONDS [START.npz]]]``.
+"""Training of the tagger: ``python -m dusklark.llm.pii_train DOCUMENTS.parquet MODEL.npz [STEPS [START.npz]]``.
 
-A sample of at most ``SAMPLE_ROWS`` rows is labelled by the sentence frames of :mod:`dusklark.llm.pii_labels`. A second
-copy of every labelled text has its names and digits replaced by made-up ones, so that the tagger learns the
-surroundings and not only the names it saw. Loss: negative log likelihood of the CRF; gradients are written out.
+A sample of at most ``SAMPLE_ROWS`` rows, drawn by a hash of the identifier, is labelled by the sentence frames of
+:mod:`dusklark.llm.pii_labels`; copies of every labelled text have their names and digits replaced by made-up ones.
+As many made-up texts with ordinary contexts (:mod:`dusklark.llm.pii_made`) stand beside them. Loss: negative log
+likelihood of the CRF; gradients are written out. The number of steps, the shards of a batch and the seed are fixed, so
+a run can be repeated; the weights are those of the last step, none are chosen.
 """
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
+from concurrent.futures import ProcessPoolExecutor
+from multiprocessing import get_context
 
 import numpy as np
 
 from dusklark.llm import pii, pii_labels
+from dusklark.llm.pii_made import Maker
 from dusklark.llm.tagger import FORBIDDEN, LABELS, Alphabet, K, Tagger, allowed, reversed_rows, sigmoid
 
 SAMPLE_ROWS = 10_000
-SPAN, WIDTH, HIDDEN, BATCH, EPOCHS, RATE, SEED = 160, 24, 48, 128, 10, 4e-3, 7
+SPAN, WIDTH, HIDDEN, BATCH, RATE, SEED = 160, 24, 48, 512, 4e-3, 7
+#: A batch's gradients are summed over so many parts, whatever the number of processes. Steps from the start, and from given weights.
+SHARDS, STEPS = 8, 2_000
 _NUMBER = {x: i for i, x in enumerate(LABELS)}
 # Syllables of made-up names.
 _HEADS = "Bra Ker Lin Mor Tal Ves Gun Hal Fre Ost Pel Rin Sal Tor Ul Wen Yar Zan Dor El Fa Gre Ho Iv Jo Ka Lo Mi Na Or".split()
@@ -74,28 +82,40 @@ def numbered(length: int, spans: list[tuple[int, int, str]]) -> np.ndarray:
     return y
 
 
-def examples(texts: list[str], known: set[str], alphabet: Alphabet, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of labelled texts: all that hold a span, and as many that hold none."""
-    full, empty = [], []
+Labelled = tuple[str, list[tuple[int, int, str]]]
+
+
+def sample_pairs(texts: list[str], known: set[str], rng: np.random.Generator) -> list[Labelled]:
+    """The texts with their frames' spans, each twice more with other names and digits if it has any."""
+    pairs = []
     for text in texts:
         spans = pii_labels.spans(text, known)
-        for t, s in [(text, spans)] + ([varied(text, spans, rng), varied(text, spans, rng)] if spans else []):
-            ids, y = alphabet.encode(t), numbered(len(t), s)
-            a = -int(rng.integers(SPAN // 2))
-            while a < len(t):
-                lo, hi = max(0, a), min(len(t), a + SPAN)
-                while lo < hi and y[lo] > 0 and y[lo] % 2 == 0:  # never begin inside a span
-                    lo += 1
-                if hi - lo > 8:
-                    (full if y[lo:hi].any() else empty).append((ids[lo:hi], y[lo:hi]))
-                a += SPAN - 24
+        pairs += [(text, spans)] + ([varied(text, spans, rng), varied(text, spans, rng)] if spans else [])
+    return pairs
+
+
+def examples(pairs: list[Labelled], alphabet: Alphabet, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of labelled texts: all that hold a span, and up to one and a half times as many that hold none."""
+    full, empty = [], []
+    for t, s in pairs:
+        ids, y = alphabet.encode(t), numbered(len(t), s)
+        a = -int(rng.integers(SPAN // 2))
+        while a < len(t):
+            lo, hi = max(0, a), min(len(t), a + SPAN)
+            while lo < hi and y[lo] > 0 and y[lo] % 2 == 0:  # never begin inside a span
+                lo += 1
+            if hi - lo > 8:
+                (full if y[lo:hi].any() else empty).append((ids[lo:hi], y[lo:hi]))
+            a += SPAN - 24
     rng.shuffle(empty)
-    rows = full + empty[: int(1.5 * len(full))]
+    return _windows(full + empty[: int(1.5 * len(full))])
+
+
+def _windows(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x, y = np.zeros((len(rows), SPAN), np.int32), np.zeros((len(rows), SPAN), np.int8)
-    lengths = np.array([len(r[0]) for r in rows])
     for i, (a, b) in enumerate(rows):
         x[i, : len(a)], y[i, : len(b)] = a, b
-    return x, y, lengths
+    return x, y, np.array([len(r[0]) for r in rows], dtype=np.int64)
 
 
 def _forward(p: dict, x: np.ndarray, d: str) -> tuple:
@@ -202,88 +222,78 @@ def gradients(tagger: Tagger, ids: np.ndarray, y: np.ndarray, lengths: np.ndarra
     return loss, g
 
 
-def mistakes(tagger: Tagger, texts: list[str], known: set[str], rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows around every place where the tagger and the labels differ, each at several offsets."""
-    rows = []
-    for variant in range(2):
-        pairs = []
-        for text in texts:
-            spans = pii_labels.spans(text, known)
-            pairs.append(varied(text, spans, rng) if variant else (text, spans))
-        for (text, spans), got in zip(pairs, pii.find_in([t for t, _ in pairs], tagger)):
-            want = {(*(pii.settled(text, *s) or s[:2]), s[2]) for s in spans}
-            ids = y = None
-            for a, z, _ in want.symmetric_difference(got):
-                if ids is None:
-                    ids, y = tagger.alphabet.encode(text), numbered(len(text), spans)
-                for _ in range(4):
-                    lo = max(0, a - int(rng.integers(10, SPAN - 40)))
-                    while lo < len(y) and y[lo] > 0 and y[lo] % 2 == 0:
-                        lo += 1
-                    hi = min(len(y), lo + SPAN)
-                    if hi - lo > 8:
-                        rows.append((ids[lo:hi], y[lo:hi]))
-    x, y = np.zeros((len(rows), SPAN), np.int32), np.zeros((len(rows), SPAN), np.int8)
-    for i, (a, b) in enumerate(rows):
-        x[i, : len(a)], y[i, : len(b)] = a, b
-    return x, y, np.array([len(r[0]) for r in rows], dtype=np.int64)
+_work: dict = {}
+
+
+def _prepare(tagger: Tagger, data: tuple) -> None:
+    _work.update(tagger=tagger, data=data)
 
 
-def fit(tagger: Tagger, data: tuple[np.ndarray, np.ndarray, np.ndarray], epochs: int, rate: float, rng: np.random.Generator, seconds: float, say=print) -> None:
-    """Adam with a falling rate over all examples, for ``epochs`` or until the time is up."""
-    x, y, lengths = data
+def _shard(params: dict, rows: np.ndarray) -> tuple[float, dict]:
+    tagger, (x, y, lengths) = _work["tagger"], _work["data"]
+    tagger.p = params
+    width = int(lengths[rows].max())
+    return gradients(tagger, x[rows, :width], y[rows, :width], lengths[rows])
+
+
+def fit(tagger: Tagger, data: tuple[np.ndarray, np.ndarray, np.ndarray], steps: int, rate: float, rng: np.random.Generator, processes: int = 0, say=print) -> None:
+    """Adam for ``steps`` batches with a rate that rises and then falls evenly. Rows are drawn without replacement, round after round."""
     m, v = ({k: np.zeros_like(a) for k, a in tagger.p.items()} for _ in range(2))
-    step, began, done = 0, time.time(), 0.0
-    total = epochs * (len(x) // BATCH)
-    for epoch in range(epochs):
-        order, losses = rng.permutation(len(x)), []
-        for a in range(0, len(x) - BATCH + 1, BATCH):
-            part = order[a : a + BATCH]
-            width = int(lengths[part].max())
-            loss, g = gradients(tagger, x[part, :width], y[part, :width], lengths[part])
-            losses.append(loss)
-            norm = np.sqrt(sum(float((q * q).sum()) for q in g.values()))
-            clip = min(1.0, 5.0 / (norm + 1e-6))
-            step += 1
-            done = max(step / total, (time.time() - began) / seconds)
-            now = rate * min(1.0, step / 100) * max(0.02, 1 - done)
-            for k, q in g.items():
-                q = q * clip
-                m[k] += 0.1 * (q - m[k])
-                v[k] += 0.01 * (q * q - v[k])
-                tagger.p[k] -= now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
-            if done >= 1:
-                break
-        say(f"epoch {epoch}: {len(x)} windows, loss {np.mean(losses):.4f}, {time.time() - began:.0f} s")
-        if done >= 1:
-            break
+    batch, order, losses, began = min(BATCH, len(data[0])), np.zeros(0, dtype=np.int64), [], time.time()
+    _prepare(tagger, data)
+    # workers inherit the data
+    pool = ProcessPoolExecutor(processes, get_context("fork")) if processes > 1 else None
+    for step in range(1, steps + 1):
+        if len(order) < batch:
+            order = rng.permutation(len(data[0]))
+        rows, order = order[:batch], order[batch:]
+        parts = [np.sort(p) for p in np.array_split(rows, min(SHARDS, batch))]
+        found = list((pool.map if pool else map)(_shard, [tagger.p] * len(parts), parts))
+        share = [len(p) / batch for p in parts]
+        losses.append(sum(w * loss for w, (loss, _) in zip(share, found)))
+        g = {k: sum(w * q[k] for w, (_, q) in zip(share, found)) for k in tagger.p}
+        clip = min(1.0, 5.0 / (np.sqrt(sum(float((q * q).sum()) for q in g.values())) + 1e-6))
+        now = rate * min(1.0, step / 50) * max(0.02, 1 - step / steps)
+        for k, q in g.items():
+            m[k] += 0.1 * (q * clip - m[k])
+            v[k] += 0.01 * ((q * clip) ** 2 - v[k])
+            tagger.p[k] = (tagger.p[k] - now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        if step % 50 == 0 or step == steps:
+            say(f"step {step} of {steps}, {len(data[0])} windows, loss {np.mean(losses[-50:]):.4f}, {time.time() - began:.0f} s")
+    if pool:
+        pool.shutdown()
     tagger._tables.clear()
 
 
-def train(texts: list[str], epochs: int = EPOCHS, hidden: int = HIDDEN, seed: int = SEED, seconds: float = 1e9, rounds: int = 2, start: Tagger | None = None, say=print) -> Tagger:
-    """Fit to all examples, then ``rounds`` times to a part of them and the windows that came out wrong."""
+def train(texts: list[str], steps: int = STEPS, hidden: int = HIDDEN, seed: int = SEED, made: int = 0, start: Tagger | None = None, processes: int = 0, say=print) -> Tagger:
+    """Fit to windows of the texts and of ``made`` made-up texts, from ``start`` or from scratch."""
     rng = np.random.default_rng(seed)
     known = pii_labels.known_parts(texts)
-    if start is None:
-        counts = Counter(c for t in texts for c in t)
+    maker = Maker(rng)
+    pairs = sample_pairs(texts, known, rng) + [maker.text() for _ in range(made)]
+    fresh = start is None
+    if fresh:
+        counts = Counter(c for t, _ in pairs for c in t)
         start = Tagger.fresh(Alphabet("".join(sorted(c for c, n in counts.items() if n >= 20))), WIDTH, hidden, seed)
-        fit(start, examples(texts, known, start.alphabet, rng), epochs, RATE, rng, seconds, say)
-    for _ in range(rounds):
-        base, wrong = examples(texts, known, start.alphabet, rng), mistakes(start, texts, known, rng)
-        say(f"{len(wrong[0])} windows with a mistake")
-        some = rng.permutation(len(base[0]))[: max(2 * BATCH, len(base[0]) // 2)]
-        fit(start, tuple(np.concatenate([a[some], b, b]) for a, b in zip(base, wrong)), 2, RATE / 3, rng, seconds / (rounds + 1), say)
+    fit(start, examples(pairs, start.alphabet, rng), steps, RATE if fresh else RATE / 4, rng, processes, say)
     return start
 
 
-def main(args: list[str]) -> None:
-    import pyarrow.parquet as pq
+def sample_texts(path: str, rows: int = SAMPLE_ROWS, seed: int = SEED) -> list[str]:
+    """At most ``rows`` texts, those whose identifiers have the smallest hashes; only these reach the driver."""
+    from pyspark.sql import functions as F
+
+    from dusklark.session import local_session
+
+    t = local_session().read.parquet(path).select("doc_id", "text").filter("text <> ''")
+    return [r["text"] for r in t.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(rows).collect()]
 
-    t = pq.read_table(args[0], columns=["doc_id", "text"]).slice(0, SAMPLE_ROWS)
-    texts = [x for x in t["text"].to_pylist() if x]
-    seconds = float(args[2]) if len(args) > 2 else 1e9
+
+def main(args: list[str]) -> None:
+    texts = sample_texts(args[0])
+    steps = int(args[2]) if len(args) > 2 else STEPS
     start = Tagger.load(args[3]) if len(args) > 3 else None
-    train(texts, seconds=seconds, start=start).save(args[1] if len(args) > 1 else pii.MODEL)
+    train(texts, steps=steps, made=2 * SAMPLE_ROWS, start=start, processes=os.cpu_count() or 1).save(args[1])
 
 
 if __name__ == "__main__":

@@ -43,13 +43,7 @@ class Alphabet:
                 n = numbers.get(plain) if len(plain) == 1 else None
             if n is not None:
                 table[cp] = n
-        self.table = table.astype(np.int32)
-
-    def __getstate__(self) -> str:
-        return self.known
-
-    def __setstate__(self, known: str) -> None:
-        self.__init__(known)
+        self.table = table.astype(np.int16)  # sent as it is, not made again by every worker
 
     def encode(self, text: str) -> np.ndarray:
         return self.table[np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)]

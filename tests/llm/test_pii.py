@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
+import pii_cases
 from dusklark.llm import pii, pii_labels, pii_train
+from dusklark.llm.pii_made import Maker
 from dusklark.llm.tagger import LABELS, Alphabet, K, Tagger
 
 KNOWN = {"zelda", "eschwald", "halvard", "plumb", "rufus"}
@@ -96,30 +98,74 @@ def test_mentions_and_redaction(spark):
     assert pii.find_mentions(df.limit(0)).count() == 0
 
 
-def test_held_out_accuracy(spark):
-    """Rows that training did not see, against the frames' labels."""
-    import duckdb
+def scores(got, want):
+    """Precision and recall by kind, and over all."""
+    out = {}
+    for kind in [*pii_labels.KINDS, None]:
+        g, w = ({(n, m) for n, s in enumerate(x) for m in s if kind in (None, m[0])} for x in (got, want))
+        out[kind] = (len(g & w) / max(1, len(g)), len(g & w) / max(1, len(w)))
+    return out
 
-    q = lambda p, n: [r[0] for r in duckdb.sql(f"SELECT text FROM '{p}' WHERE text IS NOT NULL ORDER BY doc_id LIMIT {n}").fetchall()]
-    known = pii_labels.known_parts(q("/root/testdata/sf0.1/documents.parquet", 3000))
-    texts = q("/root/testdata/check_s/documents.parquet/*.parquet", 1500)
-    hit = extra = lost = 0
-    for t, spans in zip(texts, pii.find_in(texts, Tagger.load(pii.MODEL))):
-        have = {(t[a:z], k) for a, z, k in spans}
-        want = {(t[slice(*(pii.settled(t, *s) or s[:2]))], s[2]) for s in pii_labels.spans(t, known)}
-        hit, extra, lost = hit + len(have & want), extra + len(have - want), lost + len(want - have)
-    assert hit / (hit + extra) > 0.97 and hit / (hit + lost) > 0.97
 
+def test_accuracy_on_frames():
+    """Documents of the second smallest tables against the frames' labels."""
+    import pyarrow.parquet as pq
 
-def test_training_learns_from_labels():
+    read = lambda sf: [t for t in pq.read_table(f"/root/testdata/{sf}/documents.parquet", columns=["text"])["text"].to_pylist() if t]
+    texts, known = read("sf0.01"), pii_labels.known_parts(read("sf0.1")[:3000])
+    got = [{(k, t[a:z]) for a, z, k in s} for t, s in zip(texts, pii.find_in(texts, Tagger.load(pii.MODEL)))]
+    want = [{(s[2], t[slice(*(pii.settled(t, *s) or s[:2]))]) for s in pii_labels.spans(t, known)} for t in texts]
+    assert all(min(x) > 0.97 for x in scores(got, want).values())
+
+
+def test_accuracy_outside_the_frames():
+    """Hand-labelled sentences; the bounds are below what was measured, which the README states."""
+    for cases, least in ((pii_cases.CHOICE, 0.8), (pii_cases.REPORT, 0.75)):
+        texts, want = zip(*map(pii_cases.labelled, cases))
+        got = [{(k, t[a:z]) for a, z, k in s} for t, s in zip(texts, pii.find_in(list(texts), Tagger.load(pii.MODEL)))]
+        found = scores(got, want)
+        print(found)
+        assert min(found[None]) >= least and min(min(x) for x in found.values()) >= 0.6
+
+
+def test_made_up_spans_are_what_stands_there():
+    maker = Maker(np.random.default_rng(5))
+    seen = set()
+    for _ in range(400):
+        text, spans = maker.text()
+        assert all(0 <= a < z <= len(text) and text[a:z].strip() == text[a:z] for a, z, _ in spans)
+        assert all(z <= b for (_, z, _), (b, _, _) in zip(spans, spans[1:]))
+        # the exact check rejects none of them
+        assert all(pii.settled(text, a, z, k) for a, z, k in spans), (text, spans)
+        seen |= {k for *_, k in spans}
+    assert seen == set(pii_labels.KINDS)
+
+
+def test_training_learns_from_labels(monkeypatch):
+    monkeypatch.setattr(pii_train, "BATCH", 64)
     texts = [f"Driver {n} showed card 666-4{i % 10}-8529 at the gate. Markdown depth stayed under {i}%." for i in range(40) for n in ("Zelda Eschwald", "Rufus Plumb")]
     lines = []
-    t = pii_train.train(texts * 4, epochs=12, hidden=12, rounds=0, say=lines.append)
+    t = pii_train.train(texts * 2, steps=150, hidden=12, say=lines.append)
     losses = [float(x.split("loss ")[1].split(",")[0]) for x in lines if "loss" in x]
     assert losses[-1] < losses[0] / 2
     assert isinstance(t, Tagger)
 
 
+def test_training_can_be_repeated(monkeypatch):
+    monkeypatch.setattr(pii_train, "BATCH", 32)
+    texts = ["Driver Zelda Eschwald showed card 666-41-8529 at the gate."] * 40
+    runs = [pii_train.train(texts, steps=3, hidden=4, made=20, processes=p, say=lambda _: None).p for p in (0, 0)]
+    assert all(np.array_equal(runs[0][k], r[k]) for r in runs[1:] for k in r)
+
+
+def test_sample_is_drawn_by_hash(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(50)] + [(60, None), (61, "")], "doc_id long, text string")
+    df.repartition(3).write.parquet(str(tmp_path / "a"))
+    df.coalesce(1).write.parquet(str(tmp_path / "b"))
+    a, b = (pii_train.sample_texts(str(tmp_path / n), 7) for n in "ab")
+    assert a == b and len(set(a)) == 7
+
+
 def test_queries_register():
     from dusklark.llm import queries
 
