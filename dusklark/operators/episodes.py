@@ -93,14 +93,14 @@ def filled(column: Column, episode: list[str], both_ways: bool = True) -> Column
 def extended(df: DataFrame, episode: list[str], carry: list[str], max_tail: int) -> DataFrame:
     """Rows of each episode and, marked ``is_observed = false``, one for every hour its countdown still names.
 
-    Added rows sell nothing, hold the last row's leftover and carry ``carry`` over. A countdown above ``max_tail``
-    raises, since a wrong counter would make rows without bound; NULL, NaN and negative counters add none.
+    Added rows sell nothing, hold the last row's leftover and carry ``carry`` over. NULL, NaN and negative counters add
+    none, nor does one above ``max_tail``, a wrong counter that would make rows without bound: such episodes are listed
+    by ``overlong``.
     """
     need = [*ORDER, "hours_remaining", "starting_inventory", "units_sold"]
     last = edge_rows(df, episode, [*need, *carry])
     hours = F.when(~F.isnan("hours_remaining"), F.col("hours_remaining"))
-    ok = F.when(hours > max_tail, F.raise_error(F.lit(f"an episode's countdown exceeds {max_tail} hours")).cast("int")).otherwise(hours.cast("int"))
-    tail = last.withColumn("_n", ok).filter("_n >= 1").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    tail = last.withColumn("_n", F.when(hours <= max_tail, hours.cast("int"))).filter("_n >= 1").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n"))))
     at = F.unix_date("date").cast("long") * 24 + F.col("hour_of_day") + F.col("_k")
     stock = leftover(F.col("starting_inventory"), F.col("units_sold"))
     made = tail.select(
@@ -115,3 +115,8 @@ def extended(df: DataFrame, episode: list[str], carry: list[str], max_tail: int)
         F.lit(False).alias("is_observed"),
     )
     return df.withColumn("is_observed", F.lit(True)).unionByName(made, allowMissingColumns=True)
+
+
+def overlong(df: DataFrame, episode: list[str], max_tail: int) -> DataFrame:
+    """Last rows of episodes whose countdown names more hours than ``max_tail``: set aside by ``extended``, to be looked at."""
+    return edge_rows(df, episode, [*ORDER, "hours_remaining"]).filter((F.col("hours_remaining") > max_tail) & ~F.isnan("hours_remaining"))

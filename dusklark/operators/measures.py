@@ -111,4 +111,4 @@ def arm(unit: list[Column], allocation: float) -> Column:
 
 def hash_sample(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
     """``rows`` distinct keys drawn by hash: the same keys however the table is partitioned."""
-    return df.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(rows)
+    return df.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed))), key).limit(rows)

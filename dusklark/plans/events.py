@@ -277,7 +277,7 @@ def fn_hash_arm(spark, d):
 def fn_arrays(spark, d):
     x = decisions(spark, d).filter(F.size("mu_ref_path") > 0)
     p = c("mu_ref_path")
-    tail = F.slice(p, 2, 100_000)
+    tail = F.slice(p, F.lit(2), F.size(p))
     total = F.when(F.size(tail) > 0, F.aggregate(tail, F.lit(0.0), lambda a, v: a + v))
     return x.select("key", F.size(p).cast("long").alias("n"), r(total).alias("tail"), r(F.element_at(p, 1)).alias("first"), F.array_position(p, F.array_max(p)).alias("peak"), F.transform(p, lambda v: F.round(v * 2, 4)).alias("doubled"))
 

@@ -491,7 +491,7 @@ def set_union_all(spark, d):
     return a.unionByName(b).groupBy("sku_id", "fc").agg(count().alias("row_count"))
 
 
-@query(None)
+@query(f"WITH {H}, k AS (SELECT DISTINCT episode_id FROM h WHERE episode_id IS NOT NULL), s AS (SELECT episode_id FROM k ORDER BY md5(concat_ws('|', episode_id, '7')), episode_id LIMIT 500) SELECT h.* FROM h JOIN s ON h.episode_id = s.episode_id")
 def sample_hashed(spark, d):
     """Rows of 500 episodes drawn by hash: a semi-join on a list of fixed size."""
     x = hours(spark, d)

@@ -122,8 +122,9 @@ def test_extension_runs_the_countdown_out(spark):
     made = x.filter("NOT is_observed").orderBy("date", "hour_of_day").collect()
     assert [(r["hour_of_day"], r["hours_remaining"], r["starting_inventory"], r["units_sold"]) for r in made] == [(k, 5.0 - k, 3, 0) for k in range(6)]
     assert made[0]["date"] == dt.date(2026, 8, 4)
-    with pytest.raises(Exception, match="countdown exceeds"):
-        E.extended(frame(spark, rows), ["episode_id"], [], 3).collect()
+    # a wrong counter adds nothing and is listed instead
+    assert E.extended(frame(spark, rows), ["episode_id"], [], 3).filter("NOT is_observed").count() == 0
+    assert E.overlong(frame(spark, rows), ["episode_id"], 3).count() == 1 and E.overlong(frame(spark, rows), ["episode_id"], 120).count() == 0
 
 
 def test_inventory_breaks(spark):
